@@ -1,0 +1,43 @@
+"""Finding the few keys that hold a large part of a table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key heavier than 1/MAX_HOT_KEYS of the rows is always found; never more are returned.
+MAX_HOT_KEYS = 4096
+TRACKED = 4 * MAX_HOT_KEYS
+# Below this many rows a key is no burden for one task.
+HOT_ROWS = 1_000_000
+MERGE_GROUPS = 512
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys with about `hot_rows` rows or more: at most MAX_HOT_KEYS of them.
+
+    Built on the frequent-items sketch: every input task reduces its rows to one
+    sketch, sketches merge in MERGE_GROUPS groups and then once more, so no task
+    sees rows or keys, only sketches. The counts are estimates. They choose the
+    plan of a key and never its result.
+    """
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+    sketches = df.groupBy(group.alias("_g")).agg(
+        F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED})").alias("_s")
+    )
+    top = sketches.agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(_s, {TRACKED}), {MAX_HOT_KEYS})").alias("_t")
+    )
+    found = top.select(F.explode("_t").alias("_h")).where(F.col("_h.count") >= hot_rows)
+    return found.select(F.col("_h.item").alias(key))
+
+
+def split_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cold rows, hot rows, hot keys); the two parts together are the whole table.
+
+    The broadcast is bounded: MAX_HOT_KEYS keys at most.
+    """
+    keys = hot_keys(df, key, hot_rows)
+    cold = df.join(F.broadcast(keys), key, "left_anti")
+    hot = df.join(F.broadcast(keys), key, "left_semi")
+    return cold, hot, keys
