@@ -52,3 +52,36 @@ def json_text(*cols: str | Column) -> Column:
 def to_json_rows(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """The rows as JSON text in a column `value`."""
     return df.select(json_text(*(cols or df.columns)).alias("value"))
+
+
+def _object_pattern(depth: int) -> str:
+    """A JSON object with objects nested up to `depth` times; braces in text do not count."""
+    inner = "" if depth == 0 else "|" + _object_pattern(depth - 1)
+    return r'\{(?:[^{}"]++|"(?:[^"\\]++|\\.)*+"' + inner + r")*+\}"
+
+
+_OBJECT = _object_pattern(4)
+_ARRAY = r"\[(?:[^\[\]{}\"]++|\"(?:[^\"\\]++|\\.)*+\"|" + _OBJECT + r")*+\]"
+
+
+def _same_json(a: Column, b: Column) -> Column:
+    return F.coalesce(F.get_json_object(a, "$") == F.get_json_object(b, "$"), F.lit(False))
+
+
+def raw_member(value: Column, name: str) -> Column:
+    """The text of a member of a JSON object exactly as it was written.
+
+    JSON functions write numbers anew (1.20 becomes 1.2, long decimals lose digits),
+    so the text is cut out. Where the cut does not mean the same JSON, the rewritten
+    text is taken.
+    """
+    parsed = F.get_json_object(value, f"$.{name}")
+    cut = F.regexp_extract(value, rf'(?<!\\)"{name}"\s*:\s*({_OBJECT}|{_ARRAY})', 1)
+    return F.when(_same_json(cut, parsed), cut).otherwise(parsed)
+
+
+def raw_elements(value: Column) -> Column:
+    """The objects of a JSON array, each exactly as it was written; null if not an array."""
+    cuts = F.regexp_extract_all(value, F.lit(_OBJECT), F.lit(0))
+    whole = F.concat(F.lit("["), F.array_join(cuts, ","), F.lit("]"))
+    return F.when(_same_json(whole, value), cuts).otherwise(F.from_json(value, "array<string>"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.functions.text import raw_elements, raw_member
+
 # Topics of the log lines.
 START_TOPIC = "START_LOG"
 EVENT_TOPIC = "EVENT_LOG"
@@ -35,6 +37,16 @@ def route_app_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return lines.select(topic.alias("topic"), F.col(value_col).alias("value"))
 
 
+def change_records(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Change-capture JSON as (table, type, data); `data` is the payload's own text."""
+    value = F.col(value_col)
+    return lines.select(
+        F.get_json_object(value, "$.table").alias("table"),
+        F.get_json_object(value, "$.type").alias("type"),
+        raw_member(value, "data").alias("data"),
+    )
+
+
 def route_cdc(records: DataFrame, payload: str = "object") -> DataFrame:
     """Change records (table, type, data) to (topic, value); what no rule names is dropped.
 
@@ -51,7 +63,5 @@ def route_cdc(records: DataFrame, payload: str = "object") -> DataFrame:
         return kept.select(topic, data.alias("value"))
     if payload == "array":
         kept = records.where(table.isin(*ORDER_TABLES) & (kind == "INSERT"))
-        # Elements stay raw text, whatever their fields are.
-        elements = F.from_json(data, "array<string>")
-        return kept.select(topic, F.explode(elements).alias("value"))
+        return kept.select(topic, F.explode(raw_elements(data)).alias("value"))
     raise ValueError(f"unknown payload: {payload}")

@@ -32,12 +32,10 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     return found.select(F.col("_h.item").alias(key))
 
 
-def split_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(cold rows, hot rows, hot keys); the two parts together are the whole table.
+def split_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(cold rows, hot rows): the two parts together are the whole table.
 
-    The broadcast is bounded: MAX_HOT_KEYS keys at most.
+    The broadcast is bounded: MAX_HOT_KEYS keys at most. Rows without a key are cold.
     """
-    keys = hot_keys(df, key, hot_rows)
-    cold = df.join(F.broadcast(keys), key, "left_anti")
-    hot = df.join(F.broadcast(keys), key, "left_semi")
-    return cold, hot, keys
+    keys = F.broadcast(hot_keys(df, key, hot_rows))
+    return df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi")

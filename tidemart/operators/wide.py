@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.money import cents, from_cents
-from tidemart.operators.skew import HOT_ROWS, split_hot
 from tidemart.schemas import ORDER_WIDE
 
 # Where each wide column comes from; columns not named here have no source yet.
@@ -97,7 +96,7 @@ def split_amount(
     group: str,
     order_by: Iterable[str],
     out: str = "final_detail_amount",
-    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Spread `total` of a group over its rows in proportion to `weight`, to the cent.
 
@@ -105,44 +104,57 @@ def split_amount(
     floor(total * weight / sum of weights) cents; the last row gets what is left,
     so the rows add up. Where the weights add up to zero the last row gets all.
 
-    Ordinary groups take one shuffle and a window. A group too large for one task
-    is never moved: its sums are aggregated in place, there are at most
-    MAX_HOT_KEYS such groups, and their sums come back as a bounded broadcast.
+    Groups of ordinary size take one shuffle and a window. The rows of groups too
+    large for one task come separately as `hot` (see `split_hot`): their sums are
+    aggregated where the rows are, there are at most MAX_HOT_KEYS such groups, and
+    the sums come back as a broadcast of that size.
     """
-    order_by = list(order_by)
-    columns = [c for c in wide.columns if c != out]
-    cold, hot, _ = split_hot(wide, group, hot_rows)
-    total_cents, weight_cents = cents(F.col(total)), cents(F.col(weight))
-    floor = F.when(
-        F.col("_all") != 0, F.expr("(_total * _weight) div _all").cast("decimal(20,0)")
-    ).otherwise(F.lit(0).cast("decimal(20,0)"))
-    amount = F.when(F.col("_last"), F.col("_total") - F.col("_others")).otherwise(F.col("_floor"))
+    done = _split_by_window(wide, total, weight, group, list(order_by), out)
+    if hot is None:
+        return done
+    return done.unionByName(_split_by_sums(hot, total, weight, group, list(order_by), out))
 
+
+def _floor_cents() -> Column:
+    share = F.expr("(_total * _weight) div _all").cast("decimal(20,0)")
+    return F.when(F.col("_all") != 0, share).otherwise(F.lit(0).cast("decimal(20,0)"))
+
+
+def _others() -> Column:
+    return F.sum(F.when(~F.col("_last"), F.col("_floor")).otherwise(0))
+
+
+def _finish(df: DataFrame, columns: list[str], out: str) -> DataFrame:
+    amount = F.when(F.col("_last"), F.col("_total") - F.col("_rest")).otherwise(F.col("_floor"))
+    return df.withColumn(out, from_cents(amount)).select(*columns)
+
+
+def _split_by_window(
+    df: DataFrame, total: str, weight: str, group: str, order_by: list[str], out: str
+) -> DataFrame:
     by_group = Window.partitionBy(group)
     ranked = by_group.orderBy(*[F.desc(c) for c in order_by])
-    before = cold.withColumns({"_total": total_cents, "_weight": weight_cents})
-    before = before.withColumns(
-        {
-            "_all": F.sum("_weight").over(by_group),
-            "_last": F.row_number().over(ranked) == 1,
-        }
-    ).withColumn("_floor", floor)
-    others = F.sum(F.when(~F.col("_last"), F.col("_floor")).otherwise(0))
-    cold_done = before.withColumn("_others", others.over(by_group))
-
-    hot = hot.withColumns({"_total": total_cents, "_weight": weight_cents})
-    position = F.struct(*order_by)
-    sums = hot.groupBy(group).agg(F.sum("_weight").alias("_all"), F.max(position).alias("_end"))
-    placed = hot.join(F.broadcast(sums), group).withColumns(
-        {"_floor": floor, "_last": position == F.col("_end")}
+    # The ranking comes first: its sort also serves the two sums.
+    floors = (
+        df.withColumns({"_total": cents(F.col(total)), "_weight": cents(F.col(weight))})
+        .withColumn("_last", F.row_number().over(ranked) == 1)
+        .withColumn("_all", F.sum("_weight").over(by_group))
+        .withColumn("_floor", _floor_cents())
     )
-    rest = placed.groupBy(group).agg(others.alias("_others"))
-    hot_done = placed.join(F.broadcast(rest), group)
+    return _finish(floors.withColumn("_rest", _others().over(by_group)), df.columns, out)
 
-    def finish(df: DataFrame) -> DataFrame:
-        return df.withColumn(out, from_cents(amount)).select(*columns, out)
 
-    return finish(cold_done).unionByName(finish(hot_done)).select(*wide.columns)
+def _split_by_sums(
+    df: DataFrame, total: str, weight: str, group: str, order_by: list[str], out: str
+) -> DataFrame:
+    position = F.struct(*order_by)
+    rows = df.withColumns({"_total": cents(F.col(total)), "_weight": cents(F.col(weight))})
+    sums = rows.groupBy(group).agg(F.sum("_weight").alias("_all"), F.max(position).alias("_end"))
+    floors = rows.join(F.broadcast(sums), group).withColumns(
+        {"_floor": _floor_cents(), "_last": position == F.col("_end")}
+    )
+    rest = floors.groupBy(group).agg(_others().alias("_rest"))
+    return _finish(floors.join(F.broadcast(rest), group), df.columns, out)
 
 
 def details_per_order(details: DataFrame) -> DataFrame:

@@ -242,3 +242,12 @@ def array_change_records(orders: DataFrame) -> DataFrame:
         _by_status(F.col("o_orderstatus"), ARRAY_TYPES).alias("type"),
         F.concat(F.lit("["), first, F.lit(","), second, F.lit("]")).alias("data"),
     )
+
+
+def change_lines(records: DataFrame) -> DataFrame:
+    """Change records as the JSON text the capture sends."""
+    quoted = lambda c: F.concat(F.lit('"'), F.col(c), F.lit('"'))
+    parts = ['{"table":', quoted("table"), ',"type":', quoted("type"), ',"ts":0,"data":', F.col("data"), "}"]
+    return records.select(
+        F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]).alias("value")
+    )

@@ -65,6 +65,12 @@ def latest_by_id(
     )
 
 
+def by_day(df: DataFrame, *day_cols: str) -> DataFrame:
+    """Gather rows by day for a partitioned write. A rebalance, not a repartition: AQE
+    merges small days into one task and splits a day that is too large for one."""
+    return df.hint("rebalance", *[F.col(c) for c in day_cols]) if day_cols else df
+
+
 def save_by_id(
     df: DataFrame,
     path: str,
@@ -80,7 +86,8 @@ def save_by_id(
     keys = [day_col, *[c for c in ids if c != day_col]]
     unique = latest_by_id(df, keys, newest, oldest)
     (
-        unique.write.mode("overwrite")
+        by_day(unique, day_col)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day_col)
         .parquet(path)
@@ -89,8 +96,10 @@ def save_by_id(
 
 def append_batch(df: DataFrame, batch_id: int, path: str, partitions: Iterable[str] = ("dt",)) -> None:
     """Add one micro-batch to a growing table; the same batch again replaces itself."""
+    partitions = list(partitions)
     (
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        by_day(df, *partitions)
+        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions, "batch_id")
@@ -105,13 +114,16 @@ def read_grown(
     newest: Iterable[str] = ("batch_id",),
     oldest: Iterable[str] = (),
     before_batch: int | None = None,
+    schema: str | None = None,
 ) -> DataFrame:
     """A table grown by `append_batch`, one row per id.
 
     `before_batch` hides that batch and later ones: a replayed batch then sees the
-    table exactly as its first run did.
+    table exactly as its first run did. A `schema` (with batch_id) also lets a table
+    be read that has no rows yet.
     """
-    grown = spark.read.parquet(path)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    grown = reader.parquet(path)
     if "dt" in grown.columns:
         grown = grown.withColumn("dt", F.col("dt").cast("string"))
     if before_batch is not None:
@@ -121,6 +133,18 @@ def read_grown(
 
 def archive_lines(df: DataFrame, path: str, day_col: str = "dt", line_col: str = "value") -> None:
     """Keep raw lines as text, one folder per day."""
-    df.select(day_col, F.col(line_col).alias("value")).write.mode("overwrite").option(
+    lines = df.select(day_col, F.col(line_col).alias("value"))
+    by_day(lines, day_col).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(day_col).text(path)
+
+
+def store_order_wide(wide: DataFrame, path: str) -> DataStreamWriter | None:
+    """Keep wide rows by day for the amount queries. A batch is written at once; a
+    stream returns its writer, still to be given a checkpoint and started."""
+    if wide.isStreaming:
+        return wide.writeStream.format("parquet").partitionBy("dt").option("path", path)
+    by_day(wide, "dt").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("dt").parquet(path)
+    return None

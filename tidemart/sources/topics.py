@@ -6,9 +6,8 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-FILE_TOPIC = T.StructType.fromDDL("key string, value string, topic string")
+from tidemart.schemas import TOPIC_RECORD
 
 
 def kafka_options(
@@ -55,10 +54,10 @@ def topic_source(
         raise ValueError("a file topic needs a path")
     folder = f"{path}/topic={topic}"
     if stream:
-        reader = spark.readStream.schema(T.StructType(FILE_TOPIC.fields[:2]))
+        reader = spark.readStream.schema(TOPIC_RECORD)
         if files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", files_per_trigger)
         records = reader.parquet(folder)
     else:
-        records = spark.read.schema(T.StructType(FILE_TOPIC.fields[:2])).parquet(folder)
+        records = spark.read.schema(TOPIC_RECORD).parquet(folder)
     return records.withColumn("topic", F.lit(topic))

@@ -8,11 +8,11 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemart.operators.first_order import first_order_flag, user_state
 from tidemart.operators.wide import detail_side, order_side, wide_columns
+from tidemart.schemas import FIRST_ORDER_FLAG
 from tidemart.sources.sinks import append_batch, read_grown
 from tidemart.streaming.dedupe import dedupe_stream
 
@@ -114,11 +114,6 @@ class _FirstOrder(StatefulProcessor):
         pass
 
 
-FIRST_ORDER_FLAG = T.StructType.fromDDL(
-    "id bigint, user_id bigint, create_time string, if_first_order string"
-)
-
-
 def first_order_stream(orders: DataFrame, lanes: int = 64) -> DataFrame:
     """(id, user_id, create_time, if_first_order) of a stream of orders.
 
@@ -155,7 +150,13 @@ def save_first_orders(orders_path: str, state_path: str) -> Callable[[DataFrame,
         spark = batch.sparkSession
         state = None
         if batch_id > 0:
-            state = read_grown(spark, state_path, ["user_id"], before_batch=batch_id)
+            state = read_grown(
+                spark,
+                state_path,
+                ["user_id"],
+                before_batch=batch_id,
+                schema="user_id string, if_consumed string, batch_id bigint",
+            )
         flagged = first_order_flag(batch, state).persist()
         try:
             append_batch(flagged, batch_id, orders_path, ())
