@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.money import cents, from_cents
-from tidemart.schemas import ORDER_WIDE
+from tidemart.schemas import ORDER_WIDE, TEXT
 
 # Where each wide column comes from; columns not named here have no source yet.
 FROM_ORDER = {
@@ -27,12 +27,14 @@ FROM_ORDER = {
     "user_age_group": "user_age_group",
     "user_gender": "user_gender",
 }
+WIDE_KEYS = ("order_id", "order_detail_id")
 FROM_DETAIL = {
     "order_detail_id": "id",
     "sku_id": "sku_id",
     "sku_name": "sku_name",
     "sku_price": "order_price",
     "sku_num": "sku_num",
+    "final_detail_amount": "final_detail_amount",
     "spu_id": "spu_id",
     "tm_id": "tm_id",
     "category3_id": "category3_id",
@@ -56,14 +58,17 @@ def detail_side(details: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     return details.select(F.col("order_id").alias("_order"), *_side(details, FROM_DETAIL, extra))
 
 
-def wide_columns(joined: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
-    """The 26 columns in order: missing numbers are zero, missing text is null."""
+def wide_columns(joined: DataFrame, extra: Iterable[str] = (), complete: bool = False) -> DataFrame:
+    """The 26 columns in order: missing numbers are zero, missing text is null.
+
+    `complete` says that both sides are always there. Their ids then stay untouched,
+    which keeps the join's partitioning usable for what follows.
+    """
     out = []
     for field in ORDER_WIDE.fields:
         present = field.name in joined.columns
-        value = F.col(field.name) if present else F.lit(None)
-        value = value.cast(field.dataType)
-        if field.dataType.simpleString() != "string":
+        value = (F.col(field.name) if present else F.lit(None)).cast(field.dataType)
+        if field.dataType != TEXT and not (complete and field.name in WIDE_KEYS):
             value = F.coalesce(value, F.lit(0).cast(field.dataType))
         out.append(value.alias(field.name))
     return joined.select(*out, *extra)
@@ -80,7 +85,7 @@ def widen(
     left, right = detail_side(details, extra), order_side(orders)
     how = {"left": "right", "right": "left"}.get(how, how)
     joined = left.join(right, left["_order"] == right["order_id"], how)
-    return wide_columns(joined, extra)
+    return wide_columns(joined, extra, how == "inner")
 
 
 def orders_without_detail(orders: DataFrame, details: DataFrame) -> DataFrame:
@@ -90,13 +95,12 @@ def orders_without_detail(orders: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def split_amount(
-    wide: DataFrame,
+    df: DataFrame,
     total: str,
     weight: str,
     group: str,
     order_by: Iterable[str],
     out: str = "final_detail_amount",
-    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Spread `total` of a group over its rows in proportion to `weight`, to the cent.
 
@@ -104,34 +108,9 @@ def split_amount(
     floor(total * weight / sum of weights) cents; the last row gets what is left,
     so the rows add up. Where the weights add up to zero the last row gets all.
 
-    Groups of ordinary size take one shuffle and a window. The rows of groups too
-    large for one task come separately as `hot` (see `split_hot`): their sums are
-    aggregated where the rows are, there are at most MAX_HOT_KEYS such groups, and
-    the sums come back as a broadcast of that size.
+    One shuffle and a window, for groups that fit one task; `split_amount_large`
+    gives the same numbers for groups that do not.
     """
-    done = _split_by_window(wide, total, weight, group, list(order_by), out)
-    if hot is None:
-        return done
-    return done.unionByName(_split_by_sums(hot, total, weight, group, list(order_by), out))
-
-
-def _floor_cents() -> Column:
-    share = F.expr("(_total * _weight) div _all").cast("decimal(20,0)")
-    return F.when(F.col("_all") != 0, share).otherwise(F.lit(0).cast("decimal(20,0)"))
-
-
-def _others() -> Column:
-    return F.sum(F.when(~F.col("_last"), F.col("_floor")).otherwise(0))
-
-
-def _finish(df: DataFrame, columns: list[str], out: str) -> DataFrame:
-    amount = F.when(F.col("_last"), F.col("_total") - F.col("_rest")).otherwise(F.col("_floor"))
-    return df.withColumn(out, from_cents(amount)).select(*columns)
-
-
-def _split_by_window(
-    df: DataFrame, total: str, weight: str, group: str, order_by: list[str], out: str
-) -> DataFrame:
     by_group = Window.partitionBy(group)
     ranked = by_group.orderBy(*[F.desc(c) for c in order_by])
     # The ranking comes first: its sort also serves the two sums.
@@ -141,12 +120,22 @@ def _split_by_window(
         .withColumn("_all", F.sum("_weight").over(by_group))
         .withColumn("_floor", _floor_cents())
     )
-    return _finish(floors.withColumn("_rest", _others().over(by_group)), df.columns, out)
+    return _shares(floors.withColumn("_rest", _others().over(by_group)), df.columns, out)
 
 
-def _split_by_sums(
-    df: DataFrame, total: str, weight: str, group: str, order_by: list[str], out: str
+def split_amount_large(
+    df: DataFrame,
+    total: str,
+    weight: str,
+    group: str,
+    order_by: Iterable[str],
+    out: str = "final_detail_amount",
 ) -> DataFrame:
+    """`split_amount` for a few groups of any size, the hot rows of `split_hot`.
+
+    No row is moved: the sums of a group are aggregated where its rows are and come
+    back as a broadcast of one row per group, MAX_HOT_KEYS at most.
+    """
     position = F.struct(*order_by)
     rows = df.withColumns({"_total": cents(F.col(total)), "_weight": cents(F.col(weight))})
     sums = rows.groupBy(group).agg(F.sum("_weight").alias("_all"), F.max(position).alias("_end"))
@@ -154,7 +143,21 @@ def _split_by_sums(
         {"_floor": _floor_cents(), "_last": position == F.col("_end")}
     )
     rest = floors.groupBy(group).agg(_others().alias("_rest"))
-    return _finish(floors.join(F.broadcast(rest), group), df.columns, out)
+    return _shares(floors.join(F.broadcast(rest), group), df.columns, out)
+
+
+def _floor_cents() -> Column:
+    share = F.expr("(_total * _weight) div _all").cast("decimal(20,0)")
+    return F.when(F.col("_all") != 0, share).otherwise(F.lit(0).cast("decimal(20,0)"))
+
+
+def _others() -> Column:
+    return F.sum(F.when(~F.col("_last"), F.col("_floor")).otherwise(0))
+
+
+def _shares(df: DataFrame, columns: list[str], out: str) -> DataFrame:
+    amount = F.when(F.col("_last"), F.col("_total") - F.col("_rest")).otherwise(F.col("_floor"))
+    return df.withColumn(out, from_cents(amount)).select(*[c for c in columns if c != out], out)
 
 
 def details_per_order(details: DataFrame) -> DataFrame:

@@ -556,12 +556,13 @@ def first_order_job(w: Warehouse) -> DataFrame:
 
 
 def _joined_stream(w: Warehouse, tolerance: str) -> DataFrame:
+    """Orders and lines as two topics, each with its event time, joined as streams."""
     spark = state_session(w.spark)
-    path = work_dir(spark, "wide")
+    topic, path = work_dir(spark, "details"), work_dir(spark, "wide")
+    details = retail.timed_details(w.table("lineitem"), w.table("orders"))
+    details.write.parquet(topic)
     orders = order_time_parts(retail.orders(stream_table(spark, w.folder, "orders")))
-    details = retail.timed_details(
-        stream_table(spark, w.folder, "lineitem"), spark.read.parquet(f"{w.folder}/orders.parquet")
-    )
+    details = spark.readStream.schema(details.schema).parquet(topic)
     joined = order_streams.join_order_detail(orders, details, tolerance)
     run_available(table_writer(joined, path), work_dir(spark, "checkpoint"))
     return w.spark.read.parquet(path).select(

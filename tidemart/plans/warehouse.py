@@ -11,7 +11,8 @@ from tidemart.functions.times import age_group, order_time_parts
 from tidemart.operators.dimensions import enrich, enrich_province, enrich_sku
 from tidemart.operators.first_order import first_order_flag
 from tidemart.operators.skew import HOT_ROWS, split_hot
-from tidemart.operators.wide import split_amount, widen
+from tidemart.operators.wide import split_amount, split_amount_large, widen
+from tidemart.schemas import ORDER_WIDE
 from tidemart.sources import retail
 from tidemart.sources.tables import read_table
 
@@ -59,21 +60,28 @@ class Warehouse:
 
     def amounts(self) -> DataFrame:
         """Wide rows without dimension columns, each line with its share of the amount."""
-        return self._split(order_time_parts(self.orders()), lambda details: details)
+        return self._with_shares(order_time_parts(self.orders()), lambda details: details)
 
     def order_wide(self) -> DataFrame:
-        return self._split(self.rich_orders(), self.with_sku)
-
-    def _split(self, orders: DataFrame, rich: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Lines of huge orders part from the others before anything is shuffled."""
-        cold, hot = (
-            widen(orders, rich(part), extra=["line_no"])
-            for part in split_hot(self.details(), "order_id", self.hot_rows)
-        )
-        shares = split_amount(
-            cold, "final_total_amount", "sku_price", "order_id", ["line_no", "order_detail_id"], hot=hot
+        return self._with_shares(self.rich_orders(), self.with_sku)
+
+    def _with_shares(self, orders: DataFrame, rich: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Lines of huge orders part from the others before anything is shuffled, and
+        get their shares before they are widened."""
+        cold, hot = split_hot(self.details(), "order_id", self.hot_rows)
+        names = [c.name for c in ORDER_WIDE.fields]
+        wide = split_amount(
+            widen(orders, rich(cold), extra=["line_no"]),
+            "final_total_amount",
+            "sku_price",
+            "order_id",
+            ["line_no", "order_detail_id"],
+        ).select(*names)
+        totals = self.orders().select(F.col("id").alias("order_id"), "final_total_amount")
+        shares = split_amount_large(
+            hot.join(totals, "order_id"), "final_total_amount", "order_price", "order_id", ["line_no", "id"]
         )
-        return shares.drop("line_no")
+        return wide.unionByName(widen(orders, rich(shares.drop("final_total_amount"))))
 
     def purchase_wide(self) -> DataFrame:
         """Purchases as wide rows of one line each: the share is the whole amount."""

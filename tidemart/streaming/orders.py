@@ -37,12 +37,13 @@ def join_order_detail(
     Works on two batches and on two streams. In a stream both sides are kept until
     the watermark makes a match impossible. The lines of one order are spread over
     `salts` state partitions, and orders, the smaller side, are copied to each. A
-    record sent twice is dropped before the join, so copies never multiply.
+    record sent again is dropped before the join, so copies never multiply; many
+    copies of one record are dropped by `salts` tasks.
     """
     streaming = orders.isStreaming
     if dedupe:
-        orders = dedupe_stream(orders, ["id"], order_ts, delay)
-        details = dedupe_stream(details, ["order_id", "id"], detail_ts, delay)
+        orders = dedupe_stream(orders, ["id"], order_ts, delay, salts)
+        details = dedupe_stream(details, ["order_id", "id"], detail_ts, delay, salts)
     elif streaming:
         orders = orders.withWatermark(order_ts, delay)
         details = details.withWatermark(detail_ts, delay)
@@ -56,7 +57,7 @@ def join_order_detail(
         left = left.withColumn("_ls", F.pmod(F.xxhash64("order_detail_id"), F.lit(salts)).cast("int"))
         right = right.withColumn("_rs", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         interval = interval & (F.col("_ls") == F.col("_rs"))
-    return wide_columns(left.join(right, interval, "inner"), [order_ts, detail_ts])
+    return wide_columns(left.join(right, interval, "inner"), [order_ts, detail_ts], complete=True)
 
 
 # First orders -----------------------------------------------------------------
