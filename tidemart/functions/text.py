@@ -30,18 +30,27 @@ def stable_id(*cols: Column) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
+def computed_once(df: DataFrame, row: Column, *keep: str) -> DataFrame:
+    """The kept columns and the fields of a struct that is costly to compute.
+
+    A filter on a projected column is moved below the projection with the column's
+    expression inside, and JSON is then parsed once per mention. A generator is a
+    border such filters do not cross.
+    """
+    return df.select(*keep, F.inline(F.array(row)))
+
+
 def parse_json(
     df: DataFrame, schema: T.StructType, col: str = "value"
 ) -> tuple[DataFrame, DataFrame]:
     """Split JSON text into typed rows and rejects (`value` of what did not parse)."""
-    probe = T.StructType(schema.fields + [T.StructField("_corrupt", T.StringType())])
-    parsed = df.withColumn(
-        "_row",
-        F.from_json(F.col(col), probe, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}),
-    )
-    broken = F.col(col).isNull() | F.col("_row._corrupt").isNotNull()
-    good = parsed.where(~broken).select(*[F.col(f"_row.{f.name}").alias(f.name) for f in schema.fields])
-    return good, parsed.where(broken).select(F.col(col).alias("value"))
+    probe = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    text = df.select(F.col(col).alias("_text"))
+    parsed = computed_once(text, F.from_json("_text", probe, options), "_text")
+    broken = F.col("_text").isNull() | F.col("_corrupt").isNotNull()
+    good = parsed.where(~broken).select(*schema.names)
+    return good, parsed.where(broken).select(F.col("_text").alias("value"))
 
 
 def json_text(*cols: str | Column) -> Column:
@@ -64,24 +73,23 @@ _OBJECT = _object_pattern(4)
 _ARRAY = r"\[(?:[^\[\]{}\"]++|\"(?:[^\"\\]++|\\.)*+\"|" + _OBJECT + r")*+\]"
 
 
-def _same_json(a: Column, b: Column) -> Column:
-    return F.coalesce(F.get_json_object(a, "$") == F.get_json_object(b, "$"), F.lit(False))
-
-
-def raw_member(value: Column, name: str) -> Column:
-    """The text of a member of a JSON object exactly as it was written.
+def raw_member(value: Column, name: str, parsed: Column) -> Column:
+    """The text of a member of a JSON object exactly as it was written, given the text
+    that a JSON function made of it.
 
     JSON functions write numbers anew (1.20 becomes 1.2, long decimals lose digits),
     so the text is cut out. Where the cut does not mean the same JSON, the rewritten
     text is taken.
     """
-    parsed = F.get_json_object(value, f"$.{name}")
     cut = F.regexp_extract(value, rf'(?<!\\)"{name}"\s*:\s*({_OBJECT}|{_ARRAY})', 1)
-    return F.when(_same_json(cut, parsed), cut).otherwise(parsed)
+    return F.when(F.get_json_object(cut, "$") == parsed, cut).otherwise(parsed)
 
 
 def raw_elements(value: Column) -> Column:
-    """The objects of a JSON array, each exactly as it was written; null if not an array."""
+    """The objects of a JSON array, each exactly as it was written; null if not an array.
+
+    Only where the whole text is a list of objects the cut is taken.
+    """
     cuts = F.regexp_extract_all(value, F.lit(_OBJECT), F.lit(0))
-    whole = F.concat(F.lit("["), F.array_join(cuts, ","), F.lit("]"))
-    return F.when(_same_json(whole, value), cuts).otherwise(F.from_json(value, "array<string>"))
+    objects = rf"^\s*\[\s*(?:{_OBJECT}(?:\s*,\s*{_OBJECT})*+)?\s*\]\s*$"
+    return F.when(value.rlike(objects), cuts).otherwise(F.from_json(value, "array<string>"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.text import raw_elements, raw_member
+from tidemart.functions.text import computed_once, raw_elements, raw_member
+from tidemart.schemas import CHANGE_RECORD
 
 # Topics of the log lines.
 START_TOPIC = "START_LOG"
@@ -39,12 +40,9 @@ def route_app_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 def change_records(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Change-capture JSON as (table, type, data); `data` is the payload's own text."""
-    value = F.col(value_col)
-    return lines.select(
-        F.get_json_object(value, "$.table").alias("table"),
-        F.get_json_object(value, "$.type").alias("type"),
-        raw_member(value, "data").alias("data"),
-    )
+    envelopes = computed_once(lines, F.from_json(value_col, CHANGE_RECORD), value_col)
+    data = raw_member(F.col(value_col), "data", F.col("data"))
+    return envelopes.select("table", "type", data.alias("data"))
 
 
 def route_cdc(records: DataFrame, payload: str = "object") -> DataFrame:
@@ -53,15 +51,17 @@ def route_cdc(records: DataFrame, payload: str = "object") -> DataFrame:
     `object`: one row per record, lower-case types, dimension tables included.
     `array`: one output per array element, upper-case types, order tables only.
     """
-    table, kind, data = F.col("table"), F.col("type"), F.col("data")
-    topic = table_topic(table).alias("topic")
+    table, kind = F.col("table"), F.col("type")
     if payload == "object":
-        order_insert = table.isin(*ORDER_TABLES) & (kind == "insert")
-        kept = records.where(
-            (F.length(data) > MIN_PAYLOAD) & (order_insert | table.isin(*DIMENSION_TABLES))
-        )
-        return kept.select(topic, data.alias("value"))
+        rule = (table.isin(*ORDER_TABLES) & (kind == "insert")) | table.isin(*DIMENSION_TABLES)
+    elif payload == "array":
+        rule = table.isin(*ORDER_TABLES) & (kind == "INSERT")
+    else:
+        raise ValueError(f"unknown payload: {payload}")
+    # Payloads are looked at after the rules on table and type, and once.
+    kept = computed_once(
+        records.where(rule), F.struct(table_topic(table).alias("topic"), F.col("data").alias("value"))
+    )
     if payload == "array":
-        kept = records.where(table.isin(*ORDER_TABLES) & (kind == "INSERT"))
-        return kept.select(topic, F.explode(raw_elements(data)).alias("value"))
-    raise ValueError(f"unknown payload: {payload}")
+        return kept.select("topic", F.explode(raw_elements(F.col("value"))).alias("value"))
+    return kept.where(F.length("value") > MIN_PAYLOAD)
