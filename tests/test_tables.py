@@ -77,8 +77,18 @@ def test_topic_round_trip_in_batch(spark, folder):
     path = folder("topics")
     rows = spark.createDataFrame([("a", "k", "1"), ("b", None, "2")], "topic string, key string, value string")
     sinks.topic_sink(sinks.topic_rows(rows, "topic", "value", "key"), path)
-    got = [(r.key, r.value, r.topic) for r in topic_source(spark, "a", path=path, stream=False).collect()]
-    assert got == [("k", "1", "a")]
+    got = topic_source(spark, "a", path=path, stream=False).collect()
+    assert [(r.key, r.value, r.topic, r.position) for r in got] == [("k", "1", "a", 0)]
+    assert got[0].arrived is not None
+
+
+def test_jobs_share_a_folder_of_topics_and_replace_their_batches(spark, folder):
+    path = folder("topics")
+    rows = spark.createDataFrame([("a", None, "1")], "topic string, key string, value string")
+    for writer, batch in (("x", 0), ("x", 0), ("x", 1), ("y", 0)):
+        sinks.topic_sink(rows, path, writer=writer, batch_id=batch)
+    assert topic_source(spark, "a", path=path, stream=False).count() == 3
+    assert topic_source(spark, "nothing yet", path=path, stream=False).count() == 0
 
 
 def test_table_streams_from_one_file_or_a_folder(spark, folder):

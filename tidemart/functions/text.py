@@ -41,15 +41,17 @@ def computed_once(df: DataFrame, row: Column, *keep: str) -> DataFrame:
 
 
 def parse_json(
-    df: DataFrame, schema: T.StructType, col: str = "value"
+    df: DataFrame, schema: T.StructType, col: str = "value", keep: Iterable[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
-    """Split JSON text into typed rows and rejects (`value` of what did not parse)."""
+    """Split JSON text into typed rows and rejects (`value` of what did not parse).
+    Further columns to `keep` follow the typed ones."""
+    keep = list(keep)
     probe = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    text = df.select(F.col(col).alias("_text"))
-    parsed = computed_once(text, F.from_json("_text", probe, options), "_text")
+    text = df.select(F.col(col).alias("_text"), *keep)
+    parsed = computed_once(text, F.from_json("_text", probe, options), "_text", *keep)
     broken = F.col("_text").isNull() | F.col("_corrupt").isNotNull()
-    good = parsed.where(~broken).select(*schema.names)
+    good = parsed.where(~broken).select(*schema.names, *keep)
     return good, parsed.where(broken).select(F.col("_text").alias("value"))
 
 

@@ -7,6 +7,7 @@ own folders, and readers keep the newest row per key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,10 +27,21 @@ def topic_rows(
 
 
 def topic_sink(
-    records: DataFrame, path: str | None = None, *, fmt: str = "parquet", servers: str | None = None
+    records: DataFrame,
+    path: str | None = None,
+    *,
+    fmt: str = "parquet",
+    servers: str | None = None,
+    writer: str | None = None,
+    batch_id: int = 0,
 ) -> DataStreamWriter | None:
     """Write topic records. A batch is written at once; a stream returns its writer,
-    still to be given a checkpoint and started."""
+    still to be given a checkpoint and started.
+
+    Several jobs may write to one folder of file topics. Each keeps its batches in
+    folders of its own, so a batch of a named `writer` that is written again replaces
+    itself. Kafka gets such a batch twice; the joins drop repeated records.
+    """
     if fmt == "kafka":
         if not servers:
             raise ValueError("a Kafka topic needs servers")
@@ -38,9 +50,19 @@ def topic_sink(
             return records.writeStream.format("kafka").options(**options)
         records.write.format("kafka").options(**options).save()
         return None
+    name = writer or uuid.uuid4().hex
+
+    def save(batch: DataFrame, number: int) -> None:
+        named = batch.withColumns({"writer": F.lit(name), "batch_id": F.lit(number).cast("bigint")})
+        named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "topic", "writer", "batch_id"
+        ).parquet(path)
+
     if records.isStreaming:
-        return records.writeStream.format("parquet").partitionBy("topic").option("path", path)
-    records.write.mode("append").partitionBy("topic").parquet(path)
+        if not writer:
+            raise ValueError("a stream of records needs a writer name that survives a restart")
+        return records.writeStream.foreachBatch(save)
+    save(records, batch_id)
     return None
 
 

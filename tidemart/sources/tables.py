@@ -15,6 +15,18 @@ def previous_day(day: str) -> str:
     return (dt.date.fromisoformat(day) - dt.timedelta(days=1)).isoformat()
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def ensure_folder(spark: SparkSession, path: str) -> str:
+    """Make the folder if nothing has been written to it yet, so that it reads as empty."""
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target)
+    return path
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -27,8 +39,7 @@ def stream_table(
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, target = _file_system(spark, path)
     if fs.getFileStatus(target).isDirectory():
         return reader.parquet(path)
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.schemas import TOPIC_RECORD
+from tidemart.sources.tables import ensure_folder
 
 
 def kafka_options(
@@ -35,10 +36,12 @@ def topic_source(
     stream: bool = True,
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Records of a topic as (key, value, topic).
+    """Records of a topic as (key, value, topic, arrived, position).
 
-    `fmt='kafka'` needs `servers`; `fmt='parquet'` reads the folder that
-    `topic_sink` wrote, where a new stream always begins with the oldest file.
+    `arrived` and `position` order the records of one key as they came: time and
+    offset of a Kafka record, or file time and row number. `fmt='kafka'` needs
+    `servers`; `fmt='parquet'` reads the folder that `topic_sink` wrote, where a new
+    stream always begins with the oldest file.
     """
     if fmt == "kafka":
         if not servers:
@@ -48,16 +51,21 @@ def topic_source(
         first = "earliest" if not stream and starting == "latest" else starting
         raw = reader.format("kafka").options(**kafka_options(topic, servers, first)).load()
         return raw.select(
-            F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "topic"
+            F.col("key").cast("string").alias("key"),
+            F.col("value").cast("string").alias("value"),
+            "topic",
+            F.col("timestamp").alias("arrived"),
+            F.col("offset").alias("position"),
         )
     if not path:
         raise ValueError("a file topic needs a path")
-    folder = f"{path}/topic={topic}"
-    if stream:
-        reader = spark.readStream.schema(TOPIC_RECORD)
-        if files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-        records = reader.parquet(folder)
-    else:
-        records = spark.read.schema(TOPIC_RECORD).parquet(folder)
-    return records.withColumn("topic", F.lit(topic))
+    reader = (spark.readStream if stream else spark.read).schema(TOPIC_RECORD)
+    if stream and files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(ensure_folder(spark, f"{path}/topic={topic}")).select(
+        "key",
+        "value",
+        F.lit(topic).alias("topic"),
+        F.col("_metadata.file_modification_time").alias("arrived"),
+        F.col("_metadata.row_index").alias("position"),
+    )

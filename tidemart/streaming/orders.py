@@ -139,13 +139,21 @@ def first_order_stream(orders: DataFrame, lanes: int = 64) -> DataFrame:
     )
 
 
-def save_first_orders(orders_path: str, state_path: str) -> Callable[[DataFrame, int], None]:
+def save_first_orders(
+    orders_path: str,
+    state_path: str,
+    partitions: Iterable[str] = (),
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    emit: Callable[[DataFrame, int], None] | None = None,
+) -> Callable[[DataFrame, int], None]:
     """Batch function of the order job: flag, write orders, write user state.
 
     The same rule in table form: the state is a table grown by batch, and a batch
     only sees the state of the batches before it, so running one again gives the
-    same flags. Everything is joined by unique keys.
+    same flags. Everything is joined by unique keys. `prepare` may add columns to
+    the flagged orders and `emit` send them on.
     """
+    partitions = list(partitions)
 
     def save(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -158,9 +166,15 @@ def save_first_orders(orders_path: str, state_path: str) -> Callable[[DataFrame,
                 before_batch=batch_id,
                 schema="user_id string, if_consumed string, batch_id bigint",
             )
-        flagged = first_order_flag(batch, state).persist()
+        flagged = first_order_flag(batch.dropDuplicates(["id"]), state)
+        if prepare:
+            flagged = prepare(flagged)
+        # Three writes from one computation.
+        flagged.persist()
         try:
-            append_batch(flagged, batch_id, orders_path, ())
+            append_batch(flagged, batch_id, orders_path, partitions)
+            if emit:
+                emit(flagged, batch_id)
             append_batch(user_state(flagged), batch_id, state_path, ())
         finally:
             flagged.unpersist()
