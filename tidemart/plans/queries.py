@@ -29,10 +29,12 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
+    """Register a query under its function's name, without a trailing underscore."""
+
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return fn(Warehouse(tune(spark), folder))
 
-    QUERIES[fn.__name__] = run
+    QUERIES[fn.__name__.rstrip("_")] = run
     return fn
 
 
@@ -102,12 +104,10 @@ def sliding_window_counts(w: Warehouse) -> DataFrame:
 
 
 @query
-def order_time_parts_query(w: Warehouse) -> DataFrame:
+def order_time_parts_(w: Warehouse) -> DataFrame:
     return order_time_parts(w.purchases()).select("id", "create_time", "create_date", "create_hour")
 
 
-QUERIES["order_time_parts"] = QUERIES.pop("order_time_parts_query")
-
 
 @query
 def first_order_flag(w: Warehouse) -> DataFrame:
@@ -332,7 +332,7 @@ def topic_sink_keyed(w: Warehouse) -> DataFrame:
 
 
 @query
-def topic_source_query(w: Warehouse) -> DataFrame:
+def topic_source_(w: Warehouse) -> DataFrame:
     """Log lines through both log topics and a stream that reads the start topic."""
     spark = state_session(w.spark)
     path, out = work_dir(spark, "topics"), work_dir(spark, "out")
@@ -344,11 +344,9 @@ def topic_source_query(w: Warehouse) -> DataFrame:
     return good.select("common.mid", "start", "ts")
 
 
-QUERIES["topic_source"] = QUERIES.pop("topic_source_query")
-
 
 @query
-def sql_to_json_rows_query(w: Warehouse) -> DataFrame:
+def sql_to_json_rows_(w: Warehouse) -> DataFrame:
     w.table("customer").createOrReplaceTempView("tidemart_customer")
     return sql_to_json_rows(
         w.spark,
@@ -356,8 +354,6 @@ def sql_to_json_rows_query(w: Warehouse) -> DataFrame:
     )
 
 
-QUERIES["sql_to_json_rows"] = QUERIES.pop("sql_to_json_rows_query")
-
 
 # Dimension upserts -------------------------------------------------------------------
 

@@ -13,7 +13,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidemart.operators.first_order import first_order_flag, user_state
 from tidemart.operators.wide import detail_side, order_side, wide_columns
 from tidemart.schemas import FIRST_ORDER_FLAG
-from tidemart.sources.sinks import append_batch, read_grown
+from tidemart.sources.sinks import append_batch
+from tidemart.sources.tables import ensure_folder
 from tidemart.streaming.dedupe import dedupe_stream
 
 # The window of the short join and the life of the long join's buffers.
@@ -156,17 +157,8 @@ def save_first_orders(
     partitions = list(partitions)
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state = None
-        if batch_id > 0:
-            state = read_grown(
-                spark,
-                state_path,
-                ["user_id"],
-                before_batch=batch_id,
-                schema="user_id string, if_consumed string, batch_id bigint",
-            )
-        flagged = first_order_flag(batch.dropDuplicates(["id"]), state)
+        orders = batch.dropDuplicates(["id"])
+        flagged = first_order_flag(orders, _state_before(orders, state_path, batch_id))
         if prepare:
             flagged = prepare(flagged)
         # Three writes from one computation.
@@ -175,13 +167,31 @@ def save_first_orders(
             append_batch(flagged, batch_id, orders_path, partitions)
             if emit:
                 emit(flagged, batch_id)
-            append_batch(user_state(flagged), batch_id, state_path, ())
+            # Users who had a state keep it: one row per user, however often they order.
+            append_batch(user_state(flagged.where("if_first_order = '1'")), batch_id, state_path, ())
         finally:
             flagged.unpersist()
 
     return save
 
 
+def _state_before(orders: DataFrame, state_path: str, batch_id: int) -> DataFrame:
+    """The state of the batch's users left by earlier batches.
+
+    The batch is the small side: its users are broadcast by Spark while they are
+    below the threshold, and the state of all users is read but not shuffled.
+    """
+    spark = orders.sparkSession
+    state = (
+        spark.read.schema("user_id string, if_consumed string, batch_id bigint")
+        .parquet(ensure_folder(spark, state_path))
+        .where(F.col("batch_id") < batch_id)
+        .drop("batch_id")
+    )
+    users = orders.select(F.col("user_id").cast("string").alias("user_id")).distinct()
+    return state.join(users, "user_id", "left_semi")
+
+
 def save_upserts(path: str, columns: Iterable[str] | None = None) -> Callable[[DataFrame, int], None]:
     """Batch function of a dimension job: keep every change, newest wins on reading."""
     return lambda batch, batch_id: append_batch(
