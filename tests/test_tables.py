@@ -44,6 +44,21 @@ def test_batches_replace_themselves_and_can_be_hidden(spark, folder):
     assert sorted((r.id, r.v) for r in before.collect()) == [(1, 0), (2, 0)]
 
 
+def test_compacting_keeps_the_rows_in_fewer_folders(spark, folder):
+    path, target = folder("grown"), folder("compact")
+    for batch in range(4):
+        sinks.append_batch(day_rows(spark, ("2024-01-01", 1, batch), ("2024-01-01", 10 + batch, 0)), batch, path)
+    sinks.compact_grown(spark, path, target, ["dt", "id"], before_batch=3)
+    rows = lambda p, **kw: sorted(tuple(r) for r in sinks.read_grown(spark, p, ["dt", "id"], **kw).select("dt", "id", "v").collect())
+    assert rows(target) == rows(path)
+    assert rows(target, before_batch=3) == rows(path, before_batch=3)
+    assert {r.batch_id for r in spark.read.parquet(target).select("batch_id").distinct().collect()} == {2, 3}
+    # The job goes on with its next batch, also when it repeats the last one.
+    for batch in (3, 4):
+        sinks.append_batch(day_rows(spark, ("2024-01-01", 1, 100 + batch)), batch, target)
+    assert ("2024-01-01", 1, 104) in rows(target)
+
+
 def test_day_reads_prune_partitions(spark, folder):
     path = folder("days")
     sinks.store_order_wide(day_rows(spark, *[(f"2024-01-0{d}", d, d) for d in range(1, 6)]), path)

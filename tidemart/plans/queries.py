@@ -526,7 +526,7 @@ def dau_stream_dedupe(w: Warehouse) -> DataFrame:
     spark = state_session(w.spark)
     path = work_dir(spark, "dau")
     logs = retail.app_logs(stream_table(spark, w.folder, "events"))
-    firsts = device_streams.first_log_dedupe(logs, salts=4)
+    firsts = device_streams.first_log_dedupe(logs)
     run_available(table_writer(firsts, path), work_dir(spark, "checkpoint"))
     return w.spark.read.parquet(path).select("dt", "mid")
 
@@ -592,7 +592,7 @@ def pair_dedupe_stream(w: Warehouse) -> DataFrame:
     lines = retail.order_details(stream_table(spark, w.folder, "lineitem"))
     twice = lines.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2))))
     timed = twice.withColumn("seen_at", F.timestamp_seconds(F.col("line_no") * 5))
-    unique = dedupe_stream(timed, ["order_id", "id"], "seen_at", order_streams.LONG_TOLERANCE, salts=4)
+    unique = dedupe_stream(timed, ["order_id", "id"], "seen_at", order_streams.LONG_TOLERANCE)
     run_available(table_writer(unique, path), work_dir(spark, "checkpoint"))
     return w.spark.read.parquet(path).select("order_id", F.col("id").alias("order_detail_id"))
 

@@ -54,9 +54,13 @@ class Warehouse:
         )
 
     def rich_orders(self) -> DataFrame:
-        """Orders with dates, first-order flag, province, and the user's gender and age group."""
-        flagged = first_order_flag(order_time_parts(self.orders(located=True)))
-        return with_user(enrich_province(flagged, self.provinces()), self.users())
+        """Orders with dates, first-order flag, province, and the user's gender and age group.
+
+        The two customer lookups come first and share one shuffle by user; the flag's
+        shuffle by order id comes last and also serves the join with the lines.
+        """
+        placed = with_user(order_time_parts(self.orders(located=True)), self.users())
+        return first_order_flag(enrich_province(placed, self.provinces()))
 
     def amounts(self) -> DataFrame:
         """Wide rows without dimension columns, each line with its share of the amount."""

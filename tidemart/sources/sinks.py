@@ -153,6 +153,32 @@ def read_grown(
     return latest_by_id(grown, ids, newest, oldest).drop("batch_id")
 
 
+def compact_grown(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    ids: Iterable[str],
+    before_batch: int,
+    partitions: Iterable[str] = ("dt",),
+    newest: Iterable[str] = ("batch_id",),
+    oldest: Iterable[str] = (),
+) -> None:
+    """Copy a grown table to a new folder with its finished batches merged into one.
+
+    Run it between two runs of the job that writes the table, with the number of the
+    job's next batch, and give the job the new folder: fewer files, same rows.
+    """
+    grown = spark.read.parquet(path)
+    done = latest_by_id(grown.where(F.col("batch_id") < before_batch), ids, newest, oldest)
+    merged = done.withColumn("batch_id", F.lit(before_batch - 1).cast("bigint"))
+    partitions = list(partitions)
+    (
+        by_day(merged.unionByName(grown.where(F.col("batch_id") >= before_batch)), *partitions)
+        .write.partitionBy(*partitions, "batch_id")
+        .parquet(target)
+    )
+
+
 def archive_lines(df: DataFrame, path: str, day_col: str = "dt", line_col: str = "value") -> None:
     """Keep raw lines as text, one folder per day."""
     lines = df.select(day_col, F.col(line_col).alias("value"))

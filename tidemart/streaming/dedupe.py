@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def dedupe_stream(
-    df: DataFrame, keys: Iterable[str], event_time: str, delay: str, salts: int = 1
+    df: DataFrame, keys: Iterable[str], event_time: str, delay: str, salts: int = 4
 ) -> DataFrame:
     """The first record seen per key; a key is remembered until the watermark passes
     its first event time plus `delay`.

@@ -36,7 +36,7 @@ def dau_stream(
 
 
 def first_log_dedupe(
-    logs: DataFrame, event_time: str = "event_time", delay: str = "1 day", salts: int = 1
+    logs: DataFrame, event_time: str = "event_time", delay: str = "1 day", salts: int = 4
 ) -> DataFrame:
     """The first arriving log of each device and day, for output mode `append`: a row
     leaves at once and never again. One day of delay covers the whole day of a key."""

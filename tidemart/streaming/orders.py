@@ -69,7 +69,8 @@ _CANDIDATE = 0
 def _mark_candidates(lanes: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            best = rows.sort_values(["create_time", "id"]).drop_duplicates("user_id").index
+            ordered = rows.sort_values(["create_time", "id"], na_position="first")
+            best = ordered.drop_duplicates("user_id").index
             lane = 1 + rows["id"].astype("int64") % lanes
             lane.loc[best] = _CANDIDATE
             # A row that cannot be first needs no user key: it is spread by its id.
@@ -99,7 +100,7 @@ class _FirstOrder(StatefulProcessor):
                 yield self._out(row, "0")
             elif best is None:
                 best = row
-            elif (row["create_time"], row["id"]) < (best["create_time"], best["id"]):
+            elif self._place(row) < self._place(best):
                 yield self._out(best, "0")
                 best = row
             else:
@@ -108,6 +109,12 @@ class _FirstOrder(StatefulProcessor):
             self._seen.update(("1",))
             yield self._out(best, "1")
 
+    @staticmethod
+    def _place(row: Row) -> tuple[bool, str, int]:
+        """Sorts as Spark does: a missing time comes before all others."""
+        time = row["create_time"]
+        return time is not None, time or "", row["id"]
+
     @staticmethod
     def _out(row: Row, flag: str) -> Row:
         return Row(id=row["id"], user_id=row["user_id"], create_time=row["create_time"], if_first_order=flag)
