@@ -175,13 +175,13 @@ def test_order_job_equals_batch_and_survives_a_replay(spark, folder):
 def test_arrival_decides_across_batches(spark, stateful, folder):
     schema = "id bigint, user_id bigint, create_time string"
     batches = [
-        spark.createDataFrame([(5, 1, "2024-01-02 00:00:00")], schema),
+        spark.createDataFrame([(5, 1, "2024-01-02 00:00:00"), (2**60 + 1, 2**60 + 1, "2024-01-02 00:00:00"), (3, None, "x")], schema),
         spark.createDataFrame([(4, 1, "2024-01-01 00:00:00"), (9, 2, "2024-01-01 00:00:00"), (8, 2, "2024-01-01 00:00:00"), (7, 3, "2024-01-01 00:00:00"), (6, 3, None)], schema),
     ]
     out = folder("flags")
     run_available(table_writer(first_order_stream(feed(stateful, folder("o"), batches)), out), folder("cp"))
     assert {r.id: r.if_first_order for r in spark.read.parquet(out).collect()} == {
-        5: "1", 4: "0", 8: "1", 9: "0", 6: "1", 7: "0",
+        5: "1", 4: "0", 8: "1", 9: "0", 6: "1", 7: "0", 2**60 + 1: "1", 3: "1",
     }
 
 

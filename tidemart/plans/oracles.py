@@ -20,7 +20,7 @@ _LINE_ID = _sid(
     "l_partkey",
     "l_suppkey",
     "CAST(l_quantity AS BIGINT)",
-    "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT)",
+    "CAST(round(l_extendedprice * 100) AS BIGINT)",
 )
 _LOGS = """logs AS (
   SELECT event_id AS log_id, CAST(user_id AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemart.functions.times import age_group, order_time_parts
 from tidemart.operators.dimensions import enrich, enrich_province, enrich_sku
@@ -24,9 +25,13 @@ class Warehouse:
         self.spark = spark
         self.folder = folder
         self.hot_rows = hot_rows
+        self._schemas: dict[str, StructType] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        """An input table; file footers are only read for its schema the first time."""
+        df = read_table(self.spark, self.folder, name, self._schemas.get(name))
+        self._schemas[name] = df.schema
+        return df
 
     def logs(self) -> DataFrame:
         return retail.app_logs(self.table("events"))

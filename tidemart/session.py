@@ -33,6 +33,8 @@ def build_session(app_name: str = "tidemart", cpus: str | int = "*") -> SparkSes
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Remembering the Python line of every expression only serves error messages.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .getOrCreate()
     )

@@ -93,7 +93,7 @@ def line_id() -> Column:
         F.col("l_partkey"),
         F.col("l_suppkey"),
         F.col("l_quantity").cast("bigint"),
-        (F.col("l_extendedprice").cast("decimal(18,2)") * 100).cast("bigint"),
+        F.round(F.col("l_extendedprice") * 100).cast("bigint"),
     )
 
 

@@ -132,9 +132,9 @@ def first_order_stream(orders: DataFrame, lanes: int = 64) -> DataFrame:
     per user and Arrow batch that can still be first; only those meet at the user's
     state, the others pass through lanes chosen by order id.
     """
-    narrow = orders.select(
-        F.col("id").cast("bigint"), F.col("user_id").cast("bigint"), F.col("create_time")
-    )
+    # A missing number is zero, as in the wide row; it also keeps pandas on integers.
+    number = lambda c: F.coalesce(F.col(c).cast("bigint"), F.lit(0)).alias(c)
+    narrow = orders.select(number("id"), number("user_id"), "create_time")
     marked = narrow.mapInPandas(
         _mark_candidates(lanes),
         "id bigint, user_id bigint, create_time string, lane int, lane_key bigint",
