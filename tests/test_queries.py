@@ -4,10 +4,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 from oracle import connect, differences
+from tidemart.plans.oracles import ORACLES
+from tidemart.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,8 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
