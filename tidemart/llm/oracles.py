@@ -36,3 +36,38 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN named USING (r)
 """
+
+ORACLES["op4_neardup"] = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array({_LOWER.format("text")}, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT r, doc_id, list_distinct(CASE WHEN len(w) = 1 THEN w
+           ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+  FROM docs),
+sized AS (SELECT r, doc_id, coalesce(len(s), 0) AS n, s FROM shingles),
+classes AS (
+  SELECT row_number() OVER () AS c, min(doc_id) AS least, n, s
+  FROM (SELECT doc_id, n, list_sort(s) AS s FROM sized WHERE n > 0) GROUP BY s, n),
+rare AS (SELECT c, n, unnest(s) AS g FROM classes),
+-- Only pairs that share one of their rarest shingles can be 80 % alike.
+counted AS (SELECT c, n, g, count(*) OVER (PARTITION BY g) AS f FROM rare),
+ranked AS (SELECT c, n, g, row_number() OVER (PARTITION BY c ORDER BY f, g) AS k FROM counted),
+heads AS (SELECT c, n, g FROM ranked WHERE k <= n - CAST(ceil(0.8 * n) AS BIGINT) + 1),
+pairs AS (
+  SELECT DISTINCT a.c AS a, b.c AS b FROM heads a JOIN heads b ON a.g = b.g AND a.c < b.c
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+links AS (
+  SELECT a, b FROM (SELECT p.a, p.b, x.n AS na, y.n AS nb, len(list_intersect(x.s, y.s)) AS i
+        FROM pairs p JOIN classes x ON x.c = p.a JOIN classes y ON y.c = p.b)
+  WHERE 100 * i >= 80 * (na + nb - i)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT c AS a, c AS b FROM classes UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+found AS (SELECT r.a AS c, min(k.least) AS component FROM reach r JOIN classes k ON r.b = k.c GROUP BY r.a)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_shingles,
+       CASE WHEN d.n = 0 THEN d.doc_id ELSE f.component END AS component_id,
+       d.doc_id IS NOT DISTINCT FROM (CASE WHEN d.n = 0 THEN d.doc_id ELSE f.component END) AS kept
+FROM sized d LEFT JOIN (classes k JOIN found f USING (c)) ON list_sort(d.s) = k.s
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm.decontaminate import find_items, hit_words
+from tidemart.llm.neardup import near_duplicates
 from tidemart.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +33,9 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+@_query
+def op4_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose sets of two-word shingles are at least 80 % alike."""
+    return near_duplicates(read_table(spark, folder, "documents"), shingle=2)
