@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.llm.rows import packed, unpacked
 from tidemart.llm.words import ALNUM, split_table
 
 # Fixed value: what a word is, here as in the contract of the query.
@@ -103,7 +104,6 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-_FOUND = "n_words bigint, spans array<struct<start: bigint, end: bigint>>, items array<string>"
 
 
 def _searcher(strings: dict[tuple[bytes, ...], list[str]], text: str):
@@ -160,7 +160,7 @@ def find_items(
         F.array().cast("array<struct<start: bigint, end: bigint>>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
-    id_type = out.schema["doc_id"].dataType.simpleString()
+    schema = out.schema
     for k in range(blocks):
         part = windows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == k) if blocks > 1 else windows
         strings: dict[tuple[bytes, ...], list[str]] = {}
@@ -168,7 +168,7 @@ def find_items(
             names = strings.setdefault(tuple(words.encode().split(b" ")), [])
             if item is not None:
                 names.append(item)
-        out = out.mapInArrow(_searcher(strings, "text"), f"doc_id {id_type}, text string, {_FOUND}")
+        out = out.mapInArrow(_searcher(strings, "text"), schema)
     return out
 
 
@@ -177,10 +177,6 @@ def hit_words(spans: Column) -> Column:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """The documents in which no window occurs, with all their columns.
-
-    The columns travel as one struct beside the text, so any names may clash.
-    """
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"), "text")
-    found = find_items(row, benchmark, size)
-    return found.where(F.size("spans") == 0).select("doc_id.*")
+    """The documents in which no window occurs, with all their columns."""
+    found = find_items(packed(docs), benchmark, size, id_col="row").where(F.size("spans") == 0)
+    return unpacked(found.withColumnRenamed("doc_id", "row"), docs.columns)

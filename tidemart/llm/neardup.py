@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.components import components, written
+from tidemart.llm.rows import packed, unpacked
 from tidemart.llm.words import NOT_SPACE, U64, mix, shingle_hashes, text_bytes, word_hashes
 from tidemart.session import work_dir
 
@@ -132,11 +133,12 @@ def _sketches(shingle: int, word_bytes: np.ndarray):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_hash"),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(sketches, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "digest", "sketch"],
+                names=["doc_id", "text_hash", "n_shingles", "digest", "sketch"],
             )
 
     return run
@@ -220,9 +222,9 @@ class _Search:
         self.docs = docs  # (doc_id, text)
         self.spark = docs.sparkSession
         self.sketches = written(
-            docs.mapInArrow(
+            docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
                 _sketches(shingle, word_bytes),
-                "doc_id bigint, n_shingles bigint, digest binary, sketch binary",
+                "doc_id bigint, text_hash bigint, n_shingles bigint, digest binary, sketch binary",
             ),
             f"{root}/sketches",
         )
@@ -328,15 +330,17 @@ class _Search:
         known = known.select("digest", "least_id", F.coalesce("label", "node").alias("label"))
         least = known.groupBy("label").agg(F.min("least_id").alias("component_id"))
         classes = written(
-            known.join(least, "label").select("digest", "component_id"), f"{self.root}/members"
+            known.join(least, "label").select("digest", "component_id", "label"), f"{self.root}/members"
         )
-        rows = self.sketches.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
+        rows = self.sketches.select("doc_id", "n_shingles", "digest", "text_hash").join(classes, "digest", "left")
         component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         return rows.select(
             "doc_id",
             "n_shingles",
             component.alias("component_id"),
             F.col("doc_id").eqNullSafe(component).alias("kept"),
+            "label",
+            "text_hash",
         )
 
 
@@ -348,12 +352,29 @@ def near_duplicates(
     text_col: str = "text",
     word_bytes: np.ndarray = NOT_SPACE,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of `docs`.
+    """(doc_id, n_shingles, component_id, kept, label, text_hash) of every row of `docs`.
 
     Two documents are linked if 100 * |A and B| >= threshold * |A or B|; component_id is
-    the least id reachable, and kept says that it is the row's own.
+    the least id reachable, and kept says that it is the row's own. label numbers the
+    components, also where ids are missing or repeated (null for the empty set), and
+    text_hash is the `xxhash64` of the text.
     """
     narrow = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
     return _Search(narrow, work_dir(docs.sparkSession, "neardup"), shingle, threshold, word_bytes).run()
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> DataFrame:
+    """One document of every component, with all its columns: the one with the least id,
+    and of several texts under that id the one with the least hash. Rows that repeat both
+    id and text are one document. A document with the empty set stays."""
+    groups = near_duplicates(docs, shingle, threshold)
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID))
+    rows = groups.select("label", F.struct(key.alias("_key"), F.col("text_hash").alias("_hash")).alias("_r"))
+    first = rows.where("label is not null").groupBy("label").agg(F.min("_r").alias("_r")).select("_r.*")
+    empty = rows.where("label is null").select("_r.*").distinct()
+    own = F.coalesce(F.col("row.doc_id").cast("bigint"), F.lit(_NO_ID))
+    keyed = packed(docs).withColumns({"_key": own, "_hash": F.xxhash64("text")})
+    kept = keyed.join(first.unionByName(empty), ["_key", "_hash"], "left_semi")
+    return unpacked(kept.dropDuplicates(["_key", "_hash"]), docs.columns)

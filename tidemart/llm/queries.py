@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.llm import fingerprints, langid, pieces, resample, secret_ledger, toxicity
 from tidemart.llm.decontaminate import find_items, hit_words
 from tidemart.llm.neardup import near_duplicates
+from tidemart.llm.rows import held_out
+from tidemart.session import work_dir
 from tidemart.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,4 +41,76 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op4_neardup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of two-word shingles are at least 80 % alike."""
-    return near_duplicates(read_table(spark, folder, "documents"), shingle=2)
+    found = near_duplicates(read_table(spark, folder, "documents"), shingle=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@_query
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from four fifths of them."""
+    docs = read_table(spark, folder, "documents")
+    model = langid.train(docs)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return langid.predict(rows, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@_query
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document, each different text scanned once."""
+    found = secret_ledger.scan(read_table(spark, folder, "documents"), work_dir(spark, "secret-ledger"))
+    spans = F.col("spans")
+    number = lambda kind: F.size(secret_ledger.of_kinds(spans, (kind,))).cast("bigint")
+    base = tuple(rule.kind for rule in secret_ledger.BASE)
+    return found.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(secret_ledger.span_text(secret_ledger.of_kinds(spans, base)), 256).alias("base_sha256"),
+        secret_ledger.span_text(spans).alias("spans"),
+    )
+
+
+@_query
+def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """The pieces of every document, and whether they decode to its text."""
+    vocabulary = pieces.load()
+    docs = read_table(spark, folder, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
+    encoded = pieces.encode(docs, vocabulary).withColumnRenamed("text", "_text")
+    back = pieces.decode(encoded, vocabulary)
+    asked = F.translate(F.coalesce("_text", F.lit("")), pieces.SPACE, " ")
+    return back.select(
+        "doc_id",
+        F.size("pieces").cast("bigint").alias("n_pieces"),
+        "pieces",
+        (F.col("text") == asked).alias("round_trip"),
+    )
+
+
+@_query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from confirmed examples and unlabelled text."""
+    docs = read_table(spark, folder, "documents")
+    model = toxicity.train(docs, read_table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@_query
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents drawn by how much they resemble those labelled as good; as many as the
+    labels say are good."""
+    docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    ratios = resample.train(docs, labels.where("quality = 1"))
+    share = labels.agg(F.avg(F.col("quality").cast("double")).alias("s")).first()["s"]
+    return resample.resample(docs, ratios, 1.0 if share is None else share)
+
+
+@_query
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of an edited version of it."""
+    return fingerprints.fingerprint_edits(read_table(spark, folder, "documents"))

@@ -15,7 +15,8 @@ U64 = np.uint64
 # A piece of text that is hashed at once.
 PIECE_BYTES = 1 << 20
 
-LOWER = np.arange(256, dtype=np.uint8)
+AS_IS = np.arange(256, dtype=np.uint8)
+LOWER = AS_IS.copy()
 LOWER[65:91] += 32
 
 _BASE = 0x9E3779B97F4A7C15
@@ -67,21 +68,24 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
-def _piece_hashes(data: np.ndarray, word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _piece_hashes(data: np.ndarray, word_bytes: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = word_bytes[data]
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]
     up, down = _Powers.of(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=U64)
-    np.cumsum(LOWER[data].astype(U64) * up[: len(data)], out=sums[1:])
+    np.cumsum(fold[data].astype(U64) * up[: len(data)], out=sums[1:])
     h = (sums[ends] - sums[starts]) * down[starts]
     return mix(h + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93)), starts
 
 
-def word_hashes(data: np.ndarray, word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash of every word in lower case, byte where it starts)."""
+def word_hashes(
+    data: np.ndarray, word_bytes: np.ndarray, fold: np.ndarray = LOWER
+) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every word, byte where it starts); in lower case unless `fold` says
+    otherwise."""
     if len(data) <= PIECE_BYTES:
-        return _piece_hashes(data, word_bytes)
+        return _piece_hashes(data, word_bytes, fold)
     hashes, starts, at = [], [], 0
     while at < len(data):
         end = min(at + PIECE_BYTES, len(data))
@@ -90,7 +94,7 @@ def word_hashes(data: np.ndarray, word_bytes: np.ndarray) -> tuple[np.ndarray, n
             end += int(gap[0]) if len(gap) else min(PIECE_BYTES, len(data) - end)
             if len(gap):
                 break
-        h, s = _piece_hashes(data[at:end], word_bytes)
+        h, s = _piece_hashes(data[at:end], word_bytes, fold)
         hashes.append(h)
         starts.append(s + at)
         at = end
