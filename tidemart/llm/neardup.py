@@ -13,8 +13,9 @@ of 2.5e-7.
 Equal sets are one class and are compared once. Candidates are not all pairs of a bucket:
 each member first meets one representative, links are turned into components, and only
 members of different components meet again: first one representative of the bucket's
-least component, in the end each other. So a large group of near copies costs a few
-comparisons per member, and no link between two components is lost.
+least component, in the end each other, inside the task that holds the bucket. So a large
+group of near copies costs a few pairs per member, and no link between two components is
+lost.
 
 Results for odd input: a text without words, or null, has the empty set, is linked with
 nothing and is kept; repeated rows are copies of each other; a row without id belongs to
@@ -44,6 +45,9 @@ ERRORS = 6.0
 # Keys that may be sent to every executor: some 20 MB there.
 BROADCAST_KEYS = 400_000
 PROBES = 64
+# Members of a bucket that are compared at once, and cells of the matrix that does it.
+BLOCK = 1024
+MATRIX_CELLS = 4_000_000
 
 _CELL = (1 << 64) // REGISTERS
 _BOUNDS = (np.arange(REGISTERS, dtype=U64)) * U64(_CELL)
@@ -208,6 +212,95 @@ def _wanted(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return df.join(keys, key, "left_semi")
 
 
+def _digested_sets(shingle: int, word_bytes: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(text, shingle, word_bytes).tobytes() for text in text_bytes(batch.column("text"))]
+            digests = [blake2b(s, digest_size=16).digest() for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], names=["digest", "shingles"]
+            )
+
+    return run
+
+
+def bucket_forest(
+    nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], threshold: int
+) -> list[tuple[int, int]]:
+    """Links between members of different labels, no more than join them all: of two
+    members that earlier links join already, no link is needed."""
+    tops = {x: x for x in labels.tolist()}
+
+    def top(x: int) -> int:
+        while tops[x] != x:
+            tops[x] = x = tops[tops[x]]
+        return x
+
+    sizes = np.array([len(s) for s in sets])
+    # Only shingles that two members have can be shared, and a link needs enough of them.
+    flat, place, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    shared = often[place] > 1
+    enough = 100 * np.bincount(row[shared], minlength=len(sets)) >= threshold * sizes
+    use = np.flatnonzero(enough)
+    if len(use) < 2:
+        return []
+    rank = np.full(len(sets), -1)
+    rank[use] = np.arange(len(use))
+    shared &= enough[row]
+    _, column = np.unique(place[shared], return_inverse=True)
+    row = rank[row[shared]]
+    common = np.zeros((len(use), len(use)), dtype=np.float32)
+    # Products over slices of the shingles keep the matrix small: whole numbers, so exact.
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    width = max(1, MATRIX_CELLS // len(use))
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [low, low + width])
+        held = np.zeros((len(use), width), dtype=np.float32)
+        held[row[a:b], column[a:b] - low] = 1
+        common += held @ held.T
+    n = sizes[use].astype(np.int64)
+    hits = 100 * common >= threshold * (n[:, None] + n[None, :] - common)
+    left, right = np.nonzero(np.triu(hits, 1))
+    out = []
+    for i, j in zip(use[left].tolist(), use[right].tolist()):
+        a, b = top(int(labels[i])), top(int(labels[j]))
+        if a != b:
+            tops[max(a, b)] = min(a, b)
+            out.append((int(nodes[i]), int(nodes[j])))
+    return out
+
+
+def _bucket_links(threshold: int):
+    def links(group: list[tuple]) -> list[tuple[int, int]]:
+        if len(group) < 2:
+            return []
+        nodes = np.array([g[0] for g in group])
+        labels = np.array([g[1] for g in group])
+        return bucket_forest(nodes, labels, [np.frombuffer(g[2], dtype=U64) for g in group], threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, last = [], None
+        for batch in batches:
+            found = []
+            columns = [batch.column(c).to_pylist() for c in ("key", "part", "node", "label", "shingles")]
+            for key, part, *row in zip(*columns):
+                if (key, part) != last:
+                    found += links(group)
+                    group, last = [], (key, part)
+                group.append(tuple(row))
+            yield _pairs(found)
+        yield _pairs(links(group))
+
+    return run
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+
 # The operator --------------------------------------------------------------------------
 
 _PAIR = ["a", "b", "a_key", "b_key", "a_digest", "b_digest"]
@@ -304,26 +397,56 @@ class _Search:
         )
         links = links.unionByName(self.links(second, "second"))
         labels = self.labels(links, "second")
-        # What is left: members of different components, each pair once.
+        # What is left: members of different components, compared inside their buckets.
         left = mixed.select("node", "key").join(labels, "node", "left")
         left = self._mixed(left.select("node", "key", F.coalesce("label", "node").alias("label")))
-        left = written(left, f"{self.root}/left").select("key", "node", "label")
-        other = left.select("key", F.col("node").alias("b"), F.col("label").alias("_lb"))
-        third = (
-            left.select("key", F.col("node").alias("a"), F.col("label").alias("_la"))
-            .join(other, "key")
-            .where("a < b and _la <> _lb")
-            .select("a", "b")
-            .distinct()
-        )
-        links = links.unionByName(self.links(third, "third"))
+        third = self._inside_buckets(written(left, f"{self.root}/left"))
+        links = links.unionByName(self.links(third.distinct(), "third"))
         return self.result(self.labels(links, "third"))
 
     @staticmethod
     def _mixed(rows: DataFrame) -> DataFrame:
         """The rows of the buckets with more than one label, with the least label."""
-        several = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("_h")).where("low < _h")
-        return rows.join(several.drop("_h"), "key")
+        several = rows.groupBy("key").agg(
+            F.min("label").alias("low"), F.max("label").alias("_h"), F.count("*").alias("n_rows")
+        )
+        return rows.join(several.where("low < _h").drop("_h"), "key")
+
+    def _inside_buckets(self, left: DataFrame) -> DataFrame:
+        """Pairs (a, b) that link all members of a bucket that can be linked, as a forest.
+
+        Members meet in blocks of BLOCK rows; a bucket of several blocks is dealt as pairs
+        of blocks. Each group is compared where it lies and only its links leave the task.
+        """
+        ends = left.select("node").distinct()
+        nodes = _wanted(self.classes.select("node", "key", "digest"), "node", ends)
+        keyed = self.docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("key"), "text")
+        sets = _wanted(keyed, "key", nodes.select("key").distinct()).mapInArrow(
+            _digested_sets(self.shingle, self.word_bytes), "digest binary, shingles binary"
+        )
+        sets = nodes.select("node", "digest").join(sets, "digest").select("node", "shingles").dropDuplicates(["node"])
+        blocks = F.ceil(F.col("n_rows") / F.lit(BLOCK)).cast("int")
+        own = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
+        # A block meets every other one, and itself where it is alone.
+        part = F.transform(
+            F.sequence(F.lit(0), F.greatest(F.col("_blocks") - 1, F.lit(0))),
+            lambda i: F.when(
+                (F.col("_blocks") == 1) | (i != F.col("_own")),
+                F.least(i, F.col("_own")) * F.col("_blocks") + F.greatest(i, F.col("_own")),
+            ),
+        )
+        rows = (
+            left.withColumn("_blocks", blocks)
+            .withColumn("_own", own)
+            .select("key", "node", "label", F.explode(F.array_compact(part)).alias("part"))
+            .join(sets, "node")
+        )
+        return (
+            rows.select("key", "part", "node", "label", "shingles")
+            .repartition("key", "part")
+            .sortWithinPartitions("key", "part", "node")
+            .mapInArrow(_bucket_links(self.threshold), "a bigint, b bigint")
+        )
 
     def result(self, labels: DataFrame) -> DataFrame:
         known = self.classes.select("node", "digest", "least_id").join(labels, "node", "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemart.llm.licenses import TEMPLATES
+
 ORACLES: dict[str, str] = {}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -71,3 +73,39 @@ SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_shingles,
        d.doc_id IS NOT DISTINCT FROM (CASE WHEN d.n = 0 THEN d.doc_id ELSE f.component END) AS kept
 FROM sized d LEFT JOIN (classes k JOIN found f USING (c)) ON list_sort(d.s) = k.s
 """
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_NORMAL = "trim(regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+_BIGRAMS = "list_distinct(list_transform(range(1, len({0})), lambda i: {0}[i] || ' ' || {0}[i + 1]))"
+
+ORACLES["op1_licenses"] = f"""
+WITH templates AS (
+  SELECT license, {_BIGRAMS.format("w")} AS g
+  FROM (SELECT license, string_split({_NORMAL.format("t")}, ' ') AS w
+        FROM (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in TEMPLATES)}) AS v(license, t))),
+marked AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_replace(text, '([.!?])[ \\t]+', '\\1' || chr(1), 'g') AS b FROM documents WHERE text IS NOT NULL),
+lines AS (
+  SELECT r, doc_id, CAST(i AS INTEGER) - 1 AS line, string_split(b, chr(10))[i] AS l
+  FROM (SELECT r, doc_id, b, unnest(range(1, len(string_split(b, chr(10))) + 1)) AS i FROM marked)),
+units AS (
+  SELECT r, doc_id, line, CAST(i AS INTEGER) - 1 AS sentence, string_split(l, chr(1))[i] AS u
+  FROM (SELECT r, doc_id, line, l, unnest(range(1, len(string_split(l, chr(1))) + 1)) AS i FROM lines)
+  UNION ALL SELECT r, doc_id, line, -1, replace(l, chr(1), ' ') FROM lines WHERE contains(l, chr(1))
+  UNION ALL SELECT r, doc_id, -1, -1, replace(b, chr(1), ' ') FROM marked WHERE contains(b, chr(10))),
+sets AS (
+  SELECT r, doc_id, line, sentence, {_BIGRAMS.format("w")} AS g
+  FROM (SELECT *, string_split({_NORMAL.format("u")}, ' ') AS w FROM units) WHERE len(w) > 1),
+compared AS (
+  SELECT s.*, t.license, len(t.g) AS m, len(list_intersect(s.g, t.g)) AS shared, t.g AS tg
+  FROM sets s JOIN templates t ON list_has_any(s.g, t.g))
+SELECT doc_id, line, sentence, license, CAST(len(g) AS INTEGER) AS n_bigrams, CAST(shared AS INTEGER) AS n_shared,
+       2.0::DOUBLE * shared / (m + len(g)) AS dice
+FROM compared WHERE 200 * shared >= 80 * (m + len(g))
+QUALIFY row_number() OVER (PARTITION BY r, line, sentence ORDER BY 2.0::DOUBLE * shared / (m + len(g)) DESC, license, list_sort(tg)) = 1
+"""

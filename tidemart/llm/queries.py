@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import fingerprints, langid, pieces, resample, secret_ledger, toxicity
+from tidemart.llm import fingerprints, langid, licenses, pieces, resample, secret_ledger, toxicity
 from tidemart.llm.decontaminate import find_items, hit_words
 from tidemart.llm.neardup import near_duplicates
 from tidemart.llm.rows import held_out
@@ -114,3 +114,9 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and of an edited version of it."""
     return fingerprints.fingerprint_edits(read_table(spark, folder, "documents"))
+
+
+@_query
+def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices in every document."""
+    return licenses.scan_licenses(read_table(spark, folder, "documents"))
