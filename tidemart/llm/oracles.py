@@ -109,3 +109,50 @@ SELECT doc_id, line, sentence, license, CAST(len(g) AS INTEGER) AS n_bigrams, CA
 FROM compared WHERE 200 * shared >= 80 * (m + len(g))
 QUALIFY row_number() OVER (PARTITION BY r, line, sentence ORDER BY 2.0::DOUBLE * shared / (m + len(g)) DESC, license, list_sort(tg)) = 1
 """
+
+# The same captures and rules; the as-of join is a plain join with the greatest time.
+ORACLES["op10_warc"] = r"""
+WITH pages_ AS (
+  SELECT *, md5(coalesce(html, '')) AS tag, make_timestamp((1700000000 + page_id * 60) * 1000000) AS first_at,
+         make_timestamp((1700000000 + page_id * 60 + 30 + 3600 * (1 + page_id % 7)) * 1000000) AS later_at,
+         strftime(make_timestamp((1700000000 + page_id * 60 - 86400) * 1000000), '%Y-%m-%d %H:%M:%S') AS changed,
+         regexp_replace(trim(url), '#.*$', '') AS bare FROM pages),
+split AS (
+  SELECT *, regexp_replace(bare, '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM pages_),
+named AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^(?:[^/?@]*@)?([^/?]*)', 1)), '^www[0-9]*\.', ''),
+         CASE WHEN starts_with(lower(bare), 'https:') THEN ':443$' ELSE ':80$' END, '') AS host,
+         regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         regexp_extract(rest, '\?(.*)$', 1) AS query FROM split),
+canon AS (
+  SELECT *, host || path || CASE WHEN query <> '' THEN '?' || array_to_string(list_sort(string_split(query, '&')), '&') ELSE '' END AS cu
+  FROM named),
+responses AS (
+  SELECT page_id * 2 AS record_id, cu, first_at AS t, html, '"' || tag || '"' AS etag, changed,
+         CAST(strlen(coalesce(html, '')) AS VARCHAR) AS size FROM canon),
+revisits AS (
+  SELECT page_id * 2 + 1 AS record_id, cu, later_at AS t,
+         CASE WHEN page_id % 11 = 3 THEN '"other"' WHEN page_id % 5 = 0 THEN 'W/"' || tag || '"'
+              WHEN page_id % 4 <> 1 THEN '"' || tag || '"' END AS etag,
+         CASE WHEN page_id % 4 = 1 AND page_id % 9 <> 1 THEN changed END AS changed FROM canon),
+latest AS (
+  SELECT v.*, r.record_id AS rid, r.html AS rhtml, r.etag AS retag, r.changed AS rchanged, r.size AS rsize
+  FROM revisits v LEFT JOIN responses r ON v.cu = r.cu AND r.t < v.t
+  QUALIFY row_number() OVER (PARTITION BY v.record_id ORDER BY r.t DESC NULLS LAST, r.record_id DESC) = 1),
+told AS (
+  SELECT *, CASE WHEN rid IS NULL THEN 'no_earlier' WHEN etag IS NULL AND changed IS NULL THEN 'no_validator'
+              WHEN coalesce(CASE WHEN etag IS NOT NULL THEN regexp_replace(etag, '^W/', '') = regexp_replace(retag, '^W/', '')
+                                 ELSE changed = rchanged END, false) THEN 'resolved' ELSE 'changed' END AS status FROM latest)
+SELECT record_id, 'response' AS kind, cu AS canonical_url, 'full' AS status, CAST(NULL AS BIGINT) AS response_id,
+       concat_ws(chr(10), 'content-length: ' || size, 'content-type: text/html',
+         'date: ' || strftime(t, '%Y-%m-%d %H:%M:%S'), 'etag: ' || etag, 'last-modified: ' || changed) AS headers,
+       md5(coalesce(html, '')) AS payload_md5, CAST(length(coalesce(html, '')) AS BIGINT) AS n_chars FROM responses
+UNION ALL
+SELECT record_id, 'revisit', cu, status, CASE WHEN status = 'resolved' THEN rid END,
+       CASE WHEN status = 'resolved' THEN concat_ws(chr(10), 'cache-control: max-age=60', 'content-length: ' || rsize,
+         'content-type: text/html', 'date: ' || strftime(t, '%Y-%m-%d %H:%M:%S'), 'etag: ' || coalesce(etag, retag), 'last-modified: ' || rchanged)
+       ELSE concat_ws(chr(10), 'cache-control: max-age=60', 'content-length: 0',
+         'date: ' || strftime(t, '%Y-%m-%d %H:%M:%S'), 'etag: ' || etag, 'last-modified: ' || changed) END,
+       md5(CASE WHEN status = 'resolved' THEN coalesce(rhtml, '') ELSE '' END),
+       CAST(length(CASE WHEN status = 'resolved' THEN coalesce(rhtml, '') ELSE '' END) AS BIGINT) FROM told
+"""

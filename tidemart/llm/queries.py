@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import fingerprints, langid, licenses, pieces, resample, secret_ledger, toxicity
+from tidemart.llm import fingerprints, langid, licenses, pieces, resample, secret_ledger, toxicity, warc
 from tidemart.llm.decontaminate import find_items, hit_words
 from tidemart.llm.neardup import near_duplicates
 from tidemart.llm.rows import held_out
@@ -120,3 +120,23 @@ def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """Licence notices in every document."""
     return licenses.scan_licenses(read_table(spark, folder, "documents"))
+
+
+@_query
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Captures of every page, each revisit with the response it stands for."""
+    records = warc.captures(read_table(spark, folder, "pages"))
+    told = warc.resolve_revisits(records)
+    header = F.transform(
+        F.array_sort(F.map_entries("merged")), lambda e: F.concat(e["key"], F.lit(": "), e["value"])
+    )
+    return told.select(
+        "record_id",
+        "kind",
+        "canonical_url",
+        "status",
+        "response_id",
+        F.array_join(header, "\n").alias("headers"),
+        F.md5(F.coalesce("payload", F.lit(""))).alias("payload_md5"),
+        F.char_length(F.coalesce("payload", F.lit(""))).cast("bigint").alias("n_chars"),
+    )
