@@ -20,16 +20,18 @@ def stored(spark, path):
     return sorted((str(r.dt), r.id, r.v) for r in spark.read.parquet(path).select("dt", "id", "v").collect())
 
 
-def test_same_id_overwrites_and_other_days_stay(spark, folder):
+def test_saves_of_a_day_add_up_and_replays_replace_themselves(spark, folder):
     path = folder("index")
-    sinks.save_by_id(day_rows(spark, ("2024-01-01", 1, 1), ("2024-01-01", 1, 2), ("2024-01-02", 1, 5)), path, ["id"], newest=["v"])
-    assert stored(spark, path) == [("2024-01-01", 1, 2), ("2024-01-02", 1, 5)]
+    grown = lambda: sorted((r.dt, r.id, r.v) for r in sinks.read_grown(spark, path, ["dt", "id"]).collect())
+    first = day_rows(spark, ("2024-01-01", 1, 1), ("2024-01-01", 1, 2), ("2024-01-02", 1, 5))
+    sinks.save_by_id(first, path, ["id"], newest=["v"])
+    assert grown() == [("2024-01-01", 1, 2), ("2024-01-02", 1, 5)]
     again = day_rows(spark, ("2024-01-02", 1, 6), ("2024-01-02", 2, 7))
     for _ in range(2):
-        sinks.save_by_id(again, path, ["id"], newest=["v"])
-        assert stored(spark, path) == [("2024-01-01", 1, 2), ("2024-01-02", 1, 6), ("2024-01-02", 2, 7)]
-    sinks.save_by_id(again.limit(0), path, ["id"], newest=["v"])
-    assert len(stored(spark, path)) == 3
+        sinks.save_by_id(again, path, ["id"], newest=["v"], batch_id=1)
+        assert grown() == [("2024-01-01", 1, 2), ("2024-01-02", 1, 6), ("2024-01-02", 2, 7)]
+    sinks.save_by_id(again.limit(0), path, ["id"], newest=["v"], batch_id=2)
+    assert len(grown()) == 3
 
 
 def test_batches_replace_themselves_and_can_be_hidden(spark, folder):

@@ -3,9 +3,8 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from tidemart.operators import skew, wide
+from tidemart.operators import wide
 from tidemart.operators.metrics import bin_sales, order_hour_amount, order_total_amount, share_by
-from tidemart.schemas import ORDER_WIDE
 
 
 def make_lines(spark, groups):
@@ -46,10 +45,9 @@ CASES = {
 def test_split_adds_up_to_the_cent(spark):
     df = make_lines(spark, CASES)
     check(wide.split_amount(df, "total", "w", "o", ["i"], "share"), CASES)
-    check(wide.split_amount_large(df, "total", "w", "o", ["i"], "share"), CASES)
 
 
-def test_both_ways_agree_on_random_groups(spark):
+def test_split_of_random_groups(spark):
     rng = random.Random(5)
     groups = {
         o: (rng.randint(0, 10**7) / 100, [rng.randint(0, 10**6) / 100 for _ in range(rng.randint(1, 40))])
@@ -57,32 +55,32 @@ def test_both_ways_agree_on_random_groups(spark):
     }
     df = make_lines(spark, groups)
     check(wide.split_amount(df, "total", "w", "o", ["i"], "share"), groups)
-    check(wide.split_amount_large(df, "total", "w", "o", ["i"], "share"), groups)
 
 
-def test_hot_keys_are_found_and_nothing_is_lost(spark):
-    # A third of the rows under key 0, the rest spread over 2 000 keys.
-    df = spark.range(30_000, numPartitions=8).select(
-        F.when(F.col("id") % 3 == 0, 0).otherwise(1 + F.col("id") % 2000).alias("k"), "id"
-    )
-    assert [r.k for r in skew.hot_keys(df, "k", 5_000).collect()] == [0]
-    cold, hot = skew.split_hot(df, "k", 5_000)
-    assert hot.count() == 10_000 and cold.count() == 20_000
-    assert cold.where("k = 0").count() == 0
-    assert skew.hot_keys(df, "k", 10**6).count() == 0
-
+def test_split_of_repeated_lines_and_refunds(spark):
+    """Copies of the last line share its place, and only one of them takes the rest."""
+    df = make_lines(spark, {1: (10, [1, 1, 1]), 2: (-10, [1, 2]), 3: (10, [1])})
+    df = df.unionByName(df.where("o = 1 and i = 2")).unionByName(df.where("o = 3"))
+    got = {}
+    for r in wide.split_amount(df, "total", "w", "o", ["i"], "share").collect():
+        got.setdefault(r.o, []).append(r.share)
+    assert sorted(got[1]) == [Decimal("2.50")] * 4
+    assert sorted(got[2]) == [Decimal("-6.66"), Decimal("-3.34")]
+    assert sorted(got[3]) == [Decimal("5.00")] * 2
 
-def test_wide_row_with_a_huge_order(spark):
-    """The pipeline gives the same rows whether an order counts as huge or not."""
-    from tidemart.plans.warehouse import Warehouse
 
-    folder = "/root/testdata/sf0.001"
-    usual = Warehouse(spark, folder).amounts()
-    mixed = Warehouse(spark, folder, hot_rows=6).amounts()
-    assert usual.exceptAll(mixed).count() == 0 and mixed.exceptAll(usual).count() == 0
-    full = Warehouse(spark, folder, hot_rows=6).order_wide()
-    assert full.columns == [f.name for f in ORDER_WIDE.fields]
-    assert Warehouse(spark, folder).order_wide().exceptAll(full).count() == 0
+def test_split_of_a_group_with_a_third_of_all_rows(spark):
+    df = spark.range(30_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(1 + F.col("id") % 2000).alias("o"),
+        F.col("id").alias("i"),
+        F.lit("99.99").cast("decimal(18,2)").alias("total"),
+        (F.col("id") % 7).cast("decimal(18,2)").alias("w"),
+    )
+    shares = wide.split_amount(df, "total", "w", "o", ["i"], "share")
+    assert "Window" not in shares._jdf.queryExecution().executedPlan().toString()
+    sums = shares.groupBy("o").agg(F.sum("share").alias("s"), F.count("*").alias("n"))
+    assert sums.where("s <> 99.99").count() == 0
+    assert sums.where("o = 0").first().n == 10_000 and shares.count() == 30_000
 
 
 def sides(spark):
@@ -109,15 +107,12 @@ def test_missing_side_has_zero_numbers_and_null_text(spark):
     assert [r.id for r in wide.orders_without_detail(orders, details).collect()] == [2]
 
 
-def test_details_of_a_large_order_come_in_several_sets(spark):
+def test_details_of_orders_of_any_size_are_sets(spark):
     lines = spark.range(2_500).select(
         F.col("id"), F.when(F.col("id") < 2_400, 1).otherwise(2).cast("bigint").alias("order_id")
     )
-    sets = wide.collect_details(lines, ["id"], chunk=1000).collect()
-    assert sorted(len(r.details) for r in sets if r.order_id == 2) == [100]
-    large = [r for r in sets if r.order_id == 1]
-    assert len(large) == 3 and sum(len(r.details) for r in large) == 2_400
-    assert {r.order_id: r.n_details for r in wide.details_per_order(lines).collect()} == {1: 2400, 2: 100}
+    sets = wide.collect_details(lines.unionByName(lines.limit(10)), ["id"])
+    assert {r.order_id: r["count"] for r in sets.groupBy("order_id").count().collect()} == {1: 2400, 2: 100}
 
 
 def test_amounts_of_a_day_and_shares(spark):

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def user_state(orders: DataFrame) -> DataFrame:
-    """State rows of the users who ordered: (user_id as text, "1")."""
-    return orders.select(F.col("user_id").cast("string").alias("user_id")).distinct().withColumn(
+def user_state(orders: DataFrame, *more: Column) -> DataFrame:
+    """State rows of the users who ordered: (user_id as text, "1"), and further columns."""
+    return orders.select(F.col("user_id").cast("string").alias("user_id"), *more).distinct().withColumn(
         "if_consumed", F.lit("1")
     )
 

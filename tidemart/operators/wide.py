@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.money import cents, from_cents
@@ -104,76 +104,50 @@ def split_amount(
 ) -> DataFrame:
     """Spread `total` of a group over its rows in proportion to `weight`, to the cent.
 
-    Every row but the last (by `order_by`, which must be unique in a group) gets
-    floor(total * weight / sum of weights) cents; the last row gets what is left,
-    so the rows add up. Where the weights add up to zero the last row gets all.
+    Every row but the last gets floor(total * weight / sum of weights) cents, rounded
+    towards minus infinity for negative amounts too; the last one gets what is left, so
+    the rows add up. Where the weights add up to zero the last row gets all. The last row
+    is the greatest by `order_by`, then by the hash of the row. Rows alike in every column
+    are copies; one of the copies of the last row counts as last. Rows without a group
+    get zero.
 
-    One shuffle and a window, for groups that fit one task; `split_amount_large`
-    gives the same numbers for groups that do not.
+    One way for groups of any size: sums per group are aggregated, partly where the rows
+    are, and joined back with the rows on the left, so AQE can split a very large group.
+    Copies merge first, which also keeps a line that was sent very often in one row.
     """
-    by_group = Window.partitionBy(group)
-    ranked = by_group.orderBy(*[F.desc(c) for c in order_by])
-    # The ranking comes first: its sort also serves the two sums.
-    floors = (
-        df.withColumns({"_total": cents(F.col(total)), "_weight": cents(F.col(weight))})
-        .withColumn("_last", F.row_number().over(ranked) == 1)
-        .withColumn("_all", F.sum("_weight").over(by_group))
-        .withColumn("_floor", _floor_cents())
+    columns = [c for c in df.columns if c != out]
+    merged = df.select(*columns).groupBy(*columns).agg(F.count("*").alias("_copies"))
+    place = F.struct(*order_by, F.xxhash64(*columns))
+    rows = merged.withColumns({"_total": cents(F.col(total)), "_weight": cents(F.col(weight)), "_place": place})
+    weighed = rows.groupBy(group).agg(
+        F.sum(F.col("_weight") * F.col("_copies")).alias("_all"), F.max("_place").alias("_end")
     )
-    return _shares(floors.withColumn("_rest", _others().over(by_group)), df.columns, out)
-
-
-def split_amount_large(
-    df: DataFrame,
-    total: str,
-    weight: str,
-    group: str,
-    order_by: Iterable[str],
-    out: str = "final_detail_amount",
-) -> DataFrame:
-    """`split_amount` for a few groups of any size, the hot rows of `split_hot`.
-
-    No row is moved: the sums of a group are aggregated where its rows are and come
-    back as a broadcast of one row per group, MAX_HOT_KEYS at most.
-    """
-    position = F.struct(*order_by)
-    rows = df.withColumns({"_total": cents(F.col(total)), "_weight": cents(F.col(weight))})
-    sums = rows.groupBy(group).agg(F.sum("_weight").alias("_all"), F.max(position).alias("_end"))
-    floors = rows.join(F.broadcast(sums), group).withColumns(
-        {"_floor": _floor_cents(), "_last": position == F.col("_end")}
+    floors = rows.join(weighed, group, "left").withColumns(
+        {"_floor": _floor_cents(), "_last": F.col("_place") == F.col("_end")}
+    )
+    # All floors but one of the last row's.
+    others = F.col("_copies") - F.when(F.col("_last"), 1).otherwise(0)
+    rest = floors.groupBy(group).agg(F.sum(F.col("_floor") * others).alias("_rest"))
+    # Every copy is a row again; the first copy of the last row takes what is left.
+    each = floors.join(rest, group, "left").select(
+        "*", F.posexplode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))).alias("_copy", "_")
     )
-    rest = floors.groupBy(group).agg(_others().alias("_rest"))
-    return _shares(floors.join(F.broadcast(rest), group), df.columns, out)
+    takes = F.col("_last") & (F.col("_copy") == 0)
+    amount = F.when(takes, F.col("_total") - F.col("_rest")).otherwise(F.col("_floor"))
+    return each.withColumn(out, from_cents(amount)).select(*columns, out)
 
 
 def _floor_cents() -> Column:
-    share = F.expr("(_total * _weight) div _all").cast("decimal(20,0)")
+    down = F.expr("(_total * _weight) div _all")
+    below = F.expr("(_total * _weight) % _all <> 0 AND signum(_total * _weight) <> signum(_all)")
+    share = (down - F.when(below, 1).otherwise(0)).cast("decimal(20,0)")
     return F.when(F.col("_all") != 0, share).otherwise(F.lit(0).cast("decimal(20,0)"))
 
 
-def _others() -> Column:
-    return F.sum(F.when(~F.col("_last"), F.col("_floor")).otherwise(0))
-
-
-def _shares(df: DataFrame, columns: list[str], out: str) -> DataFrame:
-    amount = F.when(F.col("_last"), F.col("_total") - F.col("_rest")).otherwise(F.col("_floor"))
-    return df.withColumn(out, from_cents(amount)).select(*[c for c in columns if c != out], out)
-
+def collect_details(details: DataFrame, cols: Iterable[str]) -> DataFrame:
+    """The set of lines of every order: one row per order and different line.
 
-def details_per_order(details: DataFrame) -> DataFrame:
-    """Number of distinct lines per order."""
-    return details.groupBy("order_id").agg(F.countDistinct("id").alias("n_details"))
-
-
-def collect_details(details: DataFrame, cols: Iterable[str], chunk: int = 1000) -> DataFrame:
-    """The lines of each order as sets of structs, about `chunk` per row.
-
-    An order of ordinary size is one row; a huge one is several, so no row or task
-    ever holds an unbounded group.
+    The rows of an order are its set, for orders of any size: no row or task holds a whole
+    order.
     """
-    sizes = details.groupBy("order_id").agg(F.count("*").alias("_n"))
-    parts = F.ceil(F.col("_n") / chunk)
-    placed = details.join(sizes, "order_id").withColumn(
-        "chunk", F.pmod(F.xxhash64("id"), parts).cast("int")
-    )
-    return placed.groupBy("order_id", "chunk").agg(F.collect_set(F.struct(*cols)).alias("details"))
+    return details.select("order_id", F.struct(*cols).alias("detail")).distinct()

@@ -11,9 +11,7 @@ from pyspark.sql.types import StructType
 from tidemart.functions.times import age_group, order_time_parts
 from tidemart.operators.dimensions import enrich, enrich_province, enrich_sku
 from tidemart.operators.first_order import first_order_flag
-from tidemart.operators.skew import HOT_ROWS, split_hot
-from tidemart.operators.wide import split_amount, split_amount_large, widen
-from tidemart.schemas import ORDER_WIDE
+from tidemart.operators.wide import split_amount, widen
 from tidemart.sources import retail
 from tidemart.sources.tables import read_table
 
@@ -21,10 +19,9 @@ from tidemart.sources.tables import read_table
 class Warehouse:
     """Lazy access to the business tables over one folder of input tables."""
 
-    def __init__(self, spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -> None:
+    def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
-        self.hot_rows = hot_rows
         self._schemas: dict[str, StructType] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -75,22 +72,24 @@ class Warehouse:
         return self._with_shares(self.rich_orders(), self.with_sku)
 
     def _with_shares(self, orders: DataFrame, rich: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Lines of huge orders part from the others before anything is shuffled, and
-        get their shares before they are widened."""
-        cold, hot = split_hot(self.details(), "order_id", self.hot_rows)
-        names = [c.name for c in ORDER_WIDE.fields]
-        wide = split_amount(
-            widen(orders, rich(cold), extra=["line_no"]),
+        """Shares are found on the narrow lines, before those are widened."""
+        totals = self.orders().select(F.col("id").alias("order_id"), "final_total_amount")
+        shares = split_amount(
+            self.details().join(totals, "order_id"),
             "final_total_amount",
-            "sku_price",
+            "order_price",
             "order_id",
-            ["line_no", "order_detail_id"],
-        ).select(*names)
-        totals = self.orders().select(F.col("id").alias("order_id"), "final_total_amount")
-        shares = split_amount_large(
-            hot.join(totals, "order_id"), "final_total_amount", "order_price", "order_id", ["line_no", "id"]
+            ["line_no", "id"],
+        )
+        return widen(orders, rich(shares.drop("final_total_amount")))
+
+    def order_totals(self) -> DataFrame:
+        """Days and amounts of the orders that have a line: the lines' shares of an order add
+        up to its amount, so the shares themselves are not needed."""
+        used = self.details().select(F.col("order_id").alias("id"))
+        return order_time_parts(self.orders()).join(used, "id", "left_semi").select(
+            F.col("create_date").alias("dt"), F.col("final_total_amount").alias("final_detail_amount")
         )
-        return wide.unionByName(widen(orders, rich(shares.drop("final_total_amount"))))
 
     def purchase_wide(self) -> DataFrame:
         """Purchases as wide rows of one line each: the share is the whole amount."""

@@ -100,20 +100,15 @@ def save_by_id(
     day_col: str = "dt",
     newest: Iterable[str] = (),
     oldest: Iterable[str] = (),
+    batch_id: int = 0,
 ) -> None:
-    """Replace the days present in `df`, one row per (day, id); other days stay.
+    """Add the rows of one batch to a daily table, one row per (day, id).
 
-    Days come from the rows, never from the clock, so a late row lands in its day.
+    Days come from the rows, never from the clock, so a late row lands in its day. Other
+    batches of a day stay; `read_grown` gives one row per id over all of them.
     """
     keys = [day_col, *[c for c in ids if c != day_col]]
-    unique = latest_by_id(df, keys, newest, oldest)
-    (
-        by_day(unique, day_col)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day_col)
-        .parquet(path)
-    )
+    append_batch(latest_by_id(df, keys, newest, oldest), batch_id, path, (day_col,))
 
 
 def append_batch(df: DataFrame, batch_id: int, path: str, partitions: Iterable[str] = ("dt",)) -> None:
@@ -179,20 +174,21 @@ def compact_grown(
     )
 
 
-def archive_lines(df: DataFrame, path: str, day_col: str = "dt", line_col: str = "value") -> None:
-    """Keep raw lines as text, one folder per day."""
+def archive_lines(
+    df: DataFrame, path: str, day_col: str = "dt", line_col: str = "value", batch_id: int = 0
+) -> None:
+    """Add the raw lines of one batch as text, one folder per day and batch."""
     lines = df.select(day_col, F.col(line_col).alias("value"))
-    by_day(lines, day_col).write.mode("overwrite").option(
+    by_day(lines, day_col).withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
-    ).partitionBy(day_col).text(path)
+    ).partitionBy(day_col, "batch_id").text(path)
 
 
-def store_order_wide(wide: DataFrame, path: str) -> DataStreamWriter | None:
-    """Keep wide rows by day for the amount queries. A batch is written at once; a
-    stream returns its writer, still to be given a checkpoint and started."""
+def store_order_wide(wide: DataFrame, path: str, batch_id: int = 0) -> DataStreamWriter | None:
+    """Add wide rows by day for the amount queries. A batch is written at once, beside the
+    other batches of its days; a stream returns its writer, still to be given a checkpoint
+    and started."""
     if wide.isStreaming:
         return wide.writeStream.format("parquet").partitionBy("dt").option("path", path)
-    by_day(wide, "dt").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("dt").parquet(path)
+    append_batch(wide, batch_id, path)
     return None

@@ -69,6 +69,7 @@ _CANDIDATE = 0
 def _mark_candidates(lanes: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
+            rows = rows.drop_duplicates("id").reset_index(drop=True)
             ordered = rows.sort_values(["create_time", "id"], na_position="first")
             best = ordered.drop_duplicates("user_id").index
             lane = 1 + rows["id"].astype("int64") % lanes
@@ -83,21 +84,22 @@ def _mark_candidates(lanes: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[
 
 
 class _FirstOrder(StatefulProcessor):
-    """Keeps one flag per user: whether an order of theirs was seen in an earlier batch."""
+    """Keeps the id of every user's first order, so that it keeps its flag when it is sent
+    again."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._seen = handle.getValueState("if_consumed", "if_consumed string")
+        self._first = handle.getValueState("first_order", "id bigint")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         if key[1] != _CANDIDATE:
             for row in rows:
                 yield self._out(row, "0")
             return
-        consumed = self._seen.exists()
+        first = self._first.get()[0] if self._first.exists() else None
         best = None
         for row in rows:
-            if consumed:
-                yield self._out(row, "0")
+            if first is not None:
+                yield self._out(row, "1" if row["id"] == first else "0")
             elif best is None:
                 best = row
             elif self._place(row) < self._place(best):
@@ -106,7 +108,7 @@ class _FirstOrder(StatefulProcessor):
             else:
                 yield self._out(row, "0")
         if best is not None:
-            self._seen.update(("1",))
+            self._first.update((best["id"],))
             yield self._out(best, "1")
 
     @staticmethod
@@ -156,26 +158,34 @@ def save_first_orders(
 ) -> Callable[[DataFrame, int], None]:
     """Batch function of the order job: flag, write orders, write user state.
 
-    The same rule in table form: the state is a table grown by batch, and a batch
-    only sees the state of the batches before it, so running one again gives the
-    same flags. Everything is joined by unique keys. `prepare` may add columns to
-    the flagged orders and `emit` send them on.
+    The same rule in table form: the state is a table grown by batch, with the id of the
+    user's first order, and a batch only sees the state of the batches before it. So
+    running one again gives the same flags, and so does sending an order again later.
+    Everything is joined by unique keys. `prepare` may add columns to the flagged orders
+    and `emit` send them on.
     """
     partitions = list(partitions)
 
     def save(batch: DataFrame, batch_id: int) -> None:
         orders = batch.dropDuplicates(["id"])
-        flagged = first_order_flag(orders, _state_before(orders, state_path, batch_id))
+        state = _state_before(orders, state_path, batch_id)
+        known = state.select(F.col("order_id").alias("id"), F.lit(True).alias("_known")).distinct()
+        flagged = first_order_flag(orders, state).join(known, "id", "left")
+        flagged = flagged.withColumn("if_first_order", F.when(F.col("_known"), "1").otherwise(F.col("if_first_order")))
+        new = (~F.coalesce("_known", F.lit(False))).alias("_new")
+        flagged = flagged.select(*[c for c in flagged.columns if c != "_known"], new)
         if prepare:
             flagged = prepare(flagged)
         # Three writes from one computation.
         flagged.persist()
         try:
-            append_batch(flagged, batch_id, orders_path, partitions)
+            append_batch(flagged.drop("_new"), batch_id, orders_path, partitions)
             if emit:
-                emit(flagged, batch_id)
+                emit(flagged.drop("_new"), batch_id)
             # Users who had a state keep it: one row per user, however often they order.
-            append_batch(user_state(flagged.where("if_first_order = '1'")), batch_id, state_path, ())
+            firsts = flagged.where("if_first_order = '1' and _new")
+            rows = user_state(firsts, F.col("id").alias("order_id"))
+            append_batch(rows, batch_id, state_path, ())
         finally:
             flagged.unpersist()
 
@@ -190,7 +200,7 @@ def _state_before(orders: DataFrame, state_path: str, batch_id: int) -> DataFram
     """
     spark = orders.sparkSession
     state = (
-        spark.read.schema("user_id string, if_consumed string, batch_id bigint")
+        spark.read.schema("user_id string, if_consumed string, order_id bigint, batch_id bigint")
         .parquet(ensure_folder(spark, state_path))
         .where(F.col("batch_id") < batch_id)
         .drop("batch_id")
