@@ -133,24 +133,45 @@ def resolve_revisits(records: DataFrame, slices: int = 64) -> DataFrame:
         # Repeated records have one answer.
         .dropDuplicates(["record_id", "kind"])
     )
-    bodies = rows.where(full).select(F.col("record_id").alias("response_id"), F.col("payload").alias("_body"))
-    # Records are the left side of both joins: a response that very many revisits stand
-    # for is split by AQE.
-    told = rows.join(answers, ["record_id", "kind"], "left").join(
-        bodies.dropDuplicates(["response_id"]), "response_id", "left"
+    def told(df: DataFrame, status: Column, response: Column, merged: Column, payload: Column) -> DataFrame:
+        return df.select(
+            "record_id",
+            "kind",
+            F.col("_url").alias("url"),
+            "at",
+            F.col("url").alias("canonical_url"),
+            status.alias("status"),
+            response.alias("response_id"),
+            merged.alias("merged"),
+            payload.alias("payload"),
+            *[F.col(f"row.`{c}`").alias(c) for c in extra if c not in ("canonical_url", "status", "response_id", "merged")],
+        )
+
+    # Responses stand for themselves and are not moved.
+    none = F.lit(None).cast(rows.schema["record_id"].dataType)
+    responses = told(rows.where(full), F.lit("full"), none, F.col("headers"), F.col("payload"))
+    # A record without a response has a key of its own, so that such records do not meet in
+    # one task. Records are the left side of both joins: a response that very many revisits
+    # stand for is split by AQE.
+    own_key = F.xxhash64("record_id", "_url", "at")
+    asked = rows.where(~full).join(answers, ["record_id", "kind"], "left").withColumn(
+        "_key", F.when(F.col("response_id").isNotNull(), F.xxhash64("response_id")).otherwise(own_key)
     )
-    return told.select(
-        "record_id",
-        "kind",
-        F.col("_url").alias("url"),
-        "at",
-        F.col("url").alias("canonical_url"),
-        F.coalesce("status", F.when(full, "full").otherwise("no_earlier")).alias("status"),
-        "response_id",
-        F.coalesce("_merged", "headers").alias("merged"),
-        F.when(F.col("response_id").isNotNull(), F.col("_body")).otherwise(F.col("payload")).alias("payload"),
-        *[F.col(f"row.`{c}`").alias(c) for c in extra if c not in ("canonical_url", "status", "response_id", "merged")],
+    bodies = (
+        rows.where(full)
+        .select(F.col("record_id").alias("response_id"), F.col("payload").alias("_body"))
+        .withColumn("_key", F.xxhash64("response_id"))
+        .dropDuplicates(["_key", "response_id"])
+    )
+    resolved = F.col("response_id").isNotNull()
+    others = told(
+        asked.join(bodies, ["_key", "response_id"], "left"),
+        F.coalesce("status", F.lit("no_earlier")),
+        F.col("response_id"),
+        F.coalesce("_merged", "headers"),
+        F.when(resolved, F.col("_body")).otherwise(F.col("payload")),
     )
+    return responses.unionByName(others)
 
 
 # Files ----------------------------------------------------------------------------------
