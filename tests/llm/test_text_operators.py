@@ -192,7 +192,7 @@ def test_licenses(spark):
     texts = [
         "Prose here. Released under the MIT License. More prose\nAll rights reserved.",
         "licensed UNDER the apache  license; version 2.0",
-        mit.replace(". ", ".\n"),
+        mit.replace(", ", ",\n"),
         None,
         "",
         "license",
