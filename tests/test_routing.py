@@ -71,11 +71,23 @@ def test_payload_text_is_not_rewritten(spark):
     assert change_records(text(spark, array)).first().data == '[{"a":1.10}, {"a":2.20}]'
 
 
-def test_deep_or_plain_elements_fall_back_to_the_parsed_json(spark):
-    deep = '[{"a":{"b":{"c":{"d":{"e":{"f":{"g":1}}}}}}}]'
-    df = spark.createDataFrame([(deep,), ("[1,2]",), ("oops",), (None,)], "v string")
+def test_payloads_of_any_depth_are_not_rewritten(spark):
+    deep = '{"x": 1.20, "s":"}]\\"{"}'
+    for level in range(10):
+        deep = '{"l%d": [%s , 12345678901234567890.123456789]}' % (level, deep)
+    line = '{"table":"t","note":{"data":{"a":1}},"type":"insert", "data" : ' + deep + ',"old":{"data":"x"}}'
+    assert change_records(text(spark, line)).first().data == deep
+    array = f"[{deep}, {deep} ,3]"
+    line = '{"table":"t","type":"insert","data":' + array + "}"
+    assert change_records(text(spark, line)).first().data == array
+    got = text(spark, array).select(raw_elements(F.col("value")).alias("e")).first().e
+    assert got == [deep, deep, "3"]
+
+
+def test_plain_elements_are_the_parsed_json(spark):
+    df = spark.createDataFrame([("[1,2]",), ("oops",), (None,), ("[]",), ('["a,b"]',)], "v string")
     got = [r.e for r in df.select(raw_elements(F.col("v")).alias("e")).collect()]
-    assert got[0] == [deep[1:-1]] and got[1] == ["1", "2"] and not got[2] and not got[3]
+    assert got[0] == ["1", "2"] and not got[1] and not got[2] and got[3] == [] and got[4] == ["a,b"]
 
 
 def test_malformed_json_goes_to_the_rejects(spark):

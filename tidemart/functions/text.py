@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,23 +75,80 @@ _OBJECT = _object_pattern(4)
 _ARRAY = r"\[(?:[^\[\]{}\"]++|\"(?:[^\"\\]++|\\.)*+\"|" + _OBJECT + r")*+\]"
 
 
+# The parts of JSON text: strings, marks, and what lies between; together they are the text.
+_TOKEN = r'"(?:[^"\\]++|\\.)*+"|[{}\[\],:]|[^"{}\[\],:]++'
+
+
+def _walk(value: Column, kept: str, step: Callable[[Column, Column], dict[str, Column]], out: str) -> Column:
+    """Go through the parts of JSON text with their depth, for nesting of any depth. `step`
+    gives the fields of the state (`kept` as DDL) after a part; `out` is returned."""
+
+    def merge(state: Column, part: Column) -> Column:
+        change = F.when(part.isin("{", "["), 1).when(part.isin("}", "]"), -1).otherwise(0)
+        fields = step(state, part)
+        return F.struct((state["depth"] + change).alias("depth"), *[v.alias(k) for k, v in fields.items()])
+
+    start = F.from_json(F.lit('{"depth":0}'), f"depth int, {kept}")
+    return F.aggregate(F.regexp_extract_all(value, F.lit(_TOKEN), F.lit(0)), start, merge, lambda s: s[out])
+
+
+def _deep_member(value: Column, name: str) -> Column:
+    """The text of a member of an object; the last one if the name is repeated."""
+
+    def step(s: Column, part: Column) -> dict[str, Column]:
+        top = s["depth"] == 1
+        begins = top & (part == ":") & (s["last"] == f'"{name}"')
+        inside = s["inside"].eqNullSafe(True) & ~(top & part.isin(",", "}"))
+        text = F.when(begins, "").when(inside, F.concat(s["text"], part)).otherwise(s["text"])
+        last = F.when(top & (F.trim(part) != ""), part).otherwise(s["last"])
+        return {"inside": begins.eqNullSafe(True) | inside, "text": text, "last": last}
+
+    return F.trim(_walk(value, "inside boolean, text string, last string", step, "text"))
+
+
+def _deep_elements(value: Column) -> Column:
+    """The texts of the elements of an array."""
+
+    def step(s: Column, part: Column) -> dict[str, Column]:
+        ends = (s["depth"] == 1) & part.isin(",", "]")
+        piece = F.coalesce(s["piece"], F.lit(""))
+        out = F.coalesce(s["out"], F.array().cast("array<string>"))
+        return {
+            "piece": F.when(ends | (s["depth"] == 0), "").otherwise(F.concat(piece, part)),
+            "out": F.when(ends, F.concat(out, F.array(F.trim(piece)))).otherwise(out),
+        }
+
+    return _walk(value, "piece string, out array<string>", step, "out")
+
+
 def raw_member(value: Column, name: str, parsed: Column) -> Column:
     """The text of a member of a JSON object exactly as it was written, given the text
     that a JSON function made of it.
 
     JSON functions write numbers anew (1.20 becomes 1.2, long decimals lose digits),
-    so the text is cut out. Where the cut does not mean the same JSON, the rewritten
-    text is taken.
+    so the text is cut out. Objects nested deeper than the pattern goes are cut by
+    counting brackets. Only a member that is no object or array, or whose name is written
+    with escapes, is the rewritten text.
     """
     cut = F.regexp_extract(value, rf'(?<!\\)"{name}"\s*:\s*({_OBJECT}|{_ARRAY})', 1)
-    return F.when(F.get_json_object(cut, "$") == parsed, cut).otherwise(parsed)
+    deep = _deep_member(value, name)
+    same = lambda c: F.get_json_object(c, "$") == parsed
+    nested = parsed.startswith("{") | parsed.startswith("[")
+    return F.when(same(cut), cut).when(nested & same(deep), deep).otherwise(parsed)
 
 
 def raw_elements(value: Column) -> Column:
     """The objects of a JSON array, each exactly as it was written; null if not an array.
 
-    Only where the whole text is a list of objects the cut is taken.
+    Where the whole text is a list of objects as flat as the pattern, its cuts are taken;
+    otherwise objects and arrays are cut by counting brackets.
     """
     cuts = F.regexp_extract_all(value, F.lit(_OBJECT), F.lit(0))
     objects = rf"^\s*\[\s*(?:{_OBJECT}(?:\s*,\s*{_OBJECT})*+)?\s*\]\s*$"
-    return F.when(value.rlike(objects), cuts).otherwise(F.from_json(value, "array<string>"))
+    parsed = F.from_json(value, "array<string>")
+    exact = F.transform(
+        F.arrays_zip(parsed.alias("parsed"), _deep_elements(value).alias("cut")),
+        lambda e: F.when(e["cut"].startswith("{") | e["cut"].startswith("["), e["cut"]).otherwise(e["parsed"]),
+    )
+    deep = F.when(F.size(parsed) == F.size(_deep_elements(value)), exact).otherwise(parsed)
+    return F.when(value.rlike(objects), cuts).otherwise(deep)
