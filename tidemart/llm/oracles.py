@@ -156,3 +156,87 @@ SELECT record_id, 'revisit', cu, status, CASE WHEN status = 'resolved' THEN rid
        md5(CASE WHEN status = 'resolved' THEN coalesce(rhtml, '') ELSE '' END),
        CAST(length(CASE WHEN status = 'resolved' THEN coalesce(rhtml, '') ELSE '' END) AS BIGINT) FROM told
 """
+
+_USABLE = (
+    "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+)
+_WHOLE = "list_transform(embedding, lambda x: CAST(floor({} * CAST(x AS DOUBLE)) AS BIGINT))"
+
+ORACLES["op11_topk"] = f"""
+WITH v AS (SELECT DISTINCT vec_id, {_WHOLE.format(1024)} AS w FROM embeddings WHERE {_USABLE}),
+scores AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         CAST(list_dot_product(CAST(q.w AS DOUBLE[]), CAST(v.w AS DOUBLE[])) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id % 100 = 0 AND (q.vec_id IS DISTINCT FROM v.vec_id OR q.w <> v.w))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+WHERE rank <= 10
+"""
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    steps = [
+        f"""v AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+         {_WHOLE.format(4096)} AS w FROM embeddings WHERE {_USABLE})""",
+        f"""parts AS (
+  SELECT r, p, list_slice(w, p * (len(w) // {parts}) + 1, (p + 1) * (len(w) // {parts})) AS x
+  FROM v, (SELECT unnest(range(0, {parts})) AS p))""",
+        f"book0 AS (SELECT p, r - 1 AS entry, x AS e FROM parts WHERE r <= {entries})",
+    ]
+    for k in range(rounds + 1):
+        steps.append(
+            f"""far{k} AS (
+  SELECT r, parts.p, entry, x,
+         CAST(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - e[i]) * (x[i] - e[i]))) AS BIGINT) AS d
+  FROM parts JOIN book{k} ON parts.p = book{k}.p),
+near{k} AS MATERIALIZED (
+  SELECT r, p, entry, x, d
+  FROM (SELECT *, row_number() OVER (PARTITION BY r, p ORDER BY d, entry) AS o FROM far{k}) WHERE o = 1)"""
+        )
+        if k < rounds:
+            steps.append(
+                f"""mean{k} AS (
+  SELECT p, entry, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS e
+  FROM (SELECT p, entry, i, CAST(sum(x[i]) AS DOUBLE) AS s, count(*) AS n
+        FROM (SELECT p, entry, x, unnest(range(1, len(x) + 1)) AS i FROM near{k}) GROUP BY p, entry, i)
+  GROUP BY p, entry),
+book{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.entry, coalesce(m.e, b.e) AS e
+  FROM book{k} b LEFT JOIN mean{k} m ON b.p = m.p AND b.entry = m.entry)"""
+            )
+    return f"""
+WITH {", ".join(steps)},
+coded AS (
+  SELECT r, string_agg(printf('%02x', entry), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY p, entry)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN v USING (r)
+"""
+
+
+ORACLES["op12_vectorcodes"] = _codes_sql()
+
+ORACLES["op13_fillmiddle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+l AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+         greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l),
+p AS (
+  SELECT *, array_to_string(list_slice(u, 1, a), '') AS pre, array_to_string(list_slice(u, a + 1, b), '') AS mid,
+         array_to_string(list_slice(u, b + 1, n), '') AS suf FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM p
+"""

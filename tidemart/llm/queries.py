@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import fingerprints, langid, licenses, pieces, resample, secret_ledger, toxicity, warc
+from tidemart.llm import fillmiddle, fingerprints, innerproduct, langid, licenses, pieces, resample, secret_ledger
+from tidemart.llm import toxicity, vectorcodes, warc
 from tidemart.llm.decontaminate import find_items, hit_words
 from tidemart.llm.neardup import near_duplicates
 from tidemart.llm.rows import held_out
@@ -140,3 +141,39 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
         F.md5(F.coalesce("payload", F.lit(""))).alias("payload_md5"),
         F.char_length(F.coalesce("payload", F.lit(""))).cast("bigint").alias("n_chars"),
     )
+
+
+@_query
+def op11_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten greatest inner products of every hundredth vector with all others."""
+    return innerproduct.top_products(read_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@_query
+def op12_vectorcodes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all vectors in eight parts of sixteen entries, and what they lose."""
+    coded, books = vectorcodes.compress(read_table(spark, folder, "embeddings"))
+    digits = F.transform("code", lambda e: F.lpad(F.lower(F.hex(e)), 2, "0"))
+    return vectorcodes.with_label_error(coded).select(
+        "vec_id",
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(vectorcodes.codebook_digest(books)).alias("codebooks_sha256"),
+    )
+
+
+@_query
+def op13_fillmiddle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document cut at two lines and rearranged, and the text rebuilt from that."""
+    moved = fillmiddle.fill_in_middle(read_table(spark, folder, "documents"))
+    restored = fillmiddle.restore(F.col("output"), F.col("form"))
+    return moved.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
