@@ -404,3 +404,33 @@ FROM split GROUP BY dt""",
     "pair_dedupe_stream": f"SELECT DISTINCT l_orderkey AS order_id, {_LINE_ID} AS order_detail_id FROM lineitem",
     "resume_from_checkpoint": f"WITH {_LOGS} SELECT CAST(log_id AS VARCHAR) AS key, {_LINES} AS value FROM logs",
 }
+
+_SIDES = f"""{_ORDERS}, {_DETAILS}, timed AS (
+  SELECT d.*, p.at AS order_at, p.at + line_no * INTERVAL 5 SECOND AS detail_at
+  FROM order_detail d JOIN (SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS at FROM orders) p ON d.order_id = p.o_orderkey)"""
+ORACLES["order_wide_outer_stream"] = f"""
+WITH {_SIDES}, placed AS (
+  SELECT i.*, CAST(o_orderdate AS TIMESTAMP) AS at FROM order_info i JOIN orders ON id = o_orderkey)
+SELECT CASE WHEN t.id IS NULL THEN 'order' WHEN o.id IS NULL THEN 'detail' ELSE 'both' END AS side,
+       coalesce(o.id, t.order_id) AS order_id, coalesce(t.id, 0) AS order_detail_id,
+       coalesce(t.price, CAST(0 AS DECIMAL(18, 2))) AS sku_price,
+       coalesce(o.amount, CAST(0 AS DECIMAL(18, 2))) AS final_total_amount
+FROM timed t FULL JOIN placed o
+  ON t.order_id = o.id AND t.detail_at BETWEEN o.at - INTERVAL 15 SECOND AND o.at + INTERVAL 15 SECOND
+"""
+ORACLES["detail_amount_stream"] = ORACLES["detail_amount_split"]
+# A set starts anew where its order was silent for over 600 seconds; a member passes once
+# per life of the set.
+ORACLES["pair_dedupe_renewed"] = f"""
+WITH {_SIDES}, sent AS (
+  SELECT order_id, id, detail_at + after * INTERVAL 1 SECOND AS seen
+  FROM timed, (SELECT unnest([0, 500, 1000, 1200]) AS after)
+  WHERE after NOT IN (1000, 1200) OR (after = 1200) = (order_id % 2 = 0)),
+gaps AS (
+  SELECT *, CASE WHEN seen > lag(seen) OVER (PARTITION BY order_id ORDER BY seen, id) + INTERVAL 600 SECOND
+                 THEN 1 ELSE 0 END AS fresh FROM sent),
+lives AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY order_id ORDER BY seen, id ROWS UNBOUNDED PRECEDING) AS life FROM gaps)
+SELECT order_id, id AS order_detail_id, strftime(min(seen), {_SECOND}) AS seen_at
+FROM lives GROUP BY order_id, id, life
+"""

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pyspark.sql.types import StructType
 
 from tidemart import schemas
@@ -21,8 +22,9 @@ from tidemart.sources.tables import sql_to_json_rows, stream_table
 from tidemart.sources.topics import topic_source
 from tidemart.streaming import devices as device_streams
 from tidemart.streaming import orders as order_streams
-from tidemart.streaming.dedupe import dedupe_stream
+from tidemart.streaming.dedupe import dedupe_renewed, dedupe_stream
 from tidemart.streaming.jobs import each_batch, run_available, table_writer
+from tidemart.streaming.shares import split_amount_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -562,16 +564,47 @@ def first_order_job(w: Warehouse) -> DataFrame:
     return w.spark.read.parquet(path).select("id", "user_id", "create_time", "if_first_order")
 
 
-def _joined_stream(w: Warehouse, tolerance: str) -> DataFrame:
-    """Orders and lines as two topics, each with its event time, joined as streams."""
+def _order_topics(w: Warehouse, job: Callable[[DataFrame, DataFrame], DataStreamWriter]) -> None:
+    """Run a job over orders and lines as two topics, each with its event time.
+
+    The topics arrive in two parts, by day, and the job is stopped in between: it goes on
+    from its checkpoint. The second part ends with an order and a line of a far later day
+    that do not belong together, so that the watermark passes all others.
+    """
     spark = state_session(w.spark)
-    topic, path = work_dir(spark, "details"), work_dir(spark, "wide")
+    order_topic, detail_topic = work_dir(spark, "orders"), work_dir(spark, "details")
+    checkpoint = work_dir(spark, "checkpoint")
+    orders = order_time_parts(w.orders())
     details = retail.timed_details(w.table("lineitem"), w.table("orders"))
-    details.write.parquet(topic)
-    orders = order_time_parts(retail.orders(stream_table(spark, w.folder, "orders")))
-    details = spark.readStream.schema(details.schema).parquet(topic)
-    joined = order_streams.join_order_detail(orders, details, tolerance)
-    run_available(table_writer(joined, path), work_dir(spark, "checkpoint"))
+    days = w.table("orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b")).first()
+    middle = F.lit(days["a"] + (days["b"] - days["a"]) / 2).cast("date").cast("timestamp")
+    # The lines of a day follow its orders by seconds, so both topics part at midnight.
+    far = F.lit(days["b"]).cast("timestamp") + F.make_interval(years=F.lit(1))
+    last_order = w.spark.range(1).select(F.lit(-1).cast("bigint").alias("id"), far.alias("order_ts"))
+    last_detail = w.spark.range(1).select(
+        F.lit(-2).cast("bigint").alias("id"), F.lit(-2).cast("bigint").alias("order_id"), far.alias("detail_ts")
+    )
+    for later in (False, True):
+        for rows, ts, path, end in (
+            (orders, "order_ts", order_topic, last_order),
+            (details, "detail_ts", detail_topic, last_detail),
+        ):
+            part = rows.where((F.col(ts) >= middle) == F.lit(later))
+            if later:
+                part = part.unionByName(end, allowMissingColumns=True)
+            part.write.mode("append").parquet(path)
+        sides = (
+            spark.readStream.schema(orders.schema).parquet(order_topic),
+            spark.readStream.schema(details.schema).parquet(detail_topic),
+        )
+        run_available(job(*sides), checkpoint)
+
+
+def _joined_stream(w: Warehouse, tolerance: str) -> DataFrame:
+    path = work_dir(w.spark, "wide")
+    _order_topics(
+        w, lambda orders, details: table_writer(order_streams.join_order_detail(orders, details, tolerance), path)
+    )
     return w.spark.read.parquet(path).select(
         "order_id",
         "order_detail_id",
@@ -595,6 +628,63 @@ def order_wide_buffered(w: Warehouse) -> DataFrame:
     return _joined_stream(w, order_streams.LONG_TOLERANCE)
 
 
+@query
+def order_wide_outer_stream(w: Warehouse) -> DataFrame:
+    """Pairs within 15 seconds, and the orders and lines that found no partner."""
+    pairs, alone = work_dir(w.spark, "wide"), work_dir(w.spark, "unmatched")
+    save = order_streams.save_sides(pairs, alone)
+    _order_topics(
+        w, lambda orders, details: each_batch(order_streams.outer_join_order_detail(orders, details), save)
+    )
+    columns = ["order_id", "order_detail_id", "sku_price", "final_total_amount"]
+    matched = w.spark.read.parquet(pairs).select(F.lit(order_streams.BOTH).alias("side"), *columns)
+    return matched.unionByName(w.spark.read.parquet(alone).select("side", *columns))
+
+
+def _streamed_shares(w: Warehouse) -> str:
+    """The folder of the streamed wide table, by day, with line shares."""
+    path = work_dir(w.spark, "wide")
+
+    def job(orders: DataFrame, details: DataFrame) -> DataStreamWriter:
+        joined = order_streams.join_order_detail(orders, details, order_streams.LONG_TOLERANCE)
+        return sinks.store_order_wide(split_amount_stream(joined, wait=order_streams.LONG_TOLERANCE), path)
+
+    _order_topics(w, job)
+    return path
+
+
+@query
+def detail_amount_stream(w: Warehouse) -> DataFrame:
+    """The streamed wide table: every line with its share of its order's amount."""
+    return w.spark.read.parquet(_streamed_shares(w)).select(
+        "order_id", "order_detail_id", "sku_price", "final_total_amount", "final_detail_amount"
+    )
+
+
+@query
+def pair_dedupe_renewed(w: Warehouse) -> DataFrame:
+    """Order lines sent three times: again after 500 seconds, and after 500 or 700 more.
+    The life of an order's set is renewed by each sighting, so the lines of odd orders
+    never pass again and those of even ones do."""
+    spark = state_session(w.spark)
+    topic, path, checkpoint = work_dir(spark, "lines"), work_dir(spark, "pairs"), work_dir(spark, "checkpoint")
+    lines = retail.timed_details(w.table("lineitem"), w.table("orders")).select("order_id", "id", "detail_ts")
+    third = F.when(F.col("order_id") % 2 == 0, F.lit(1200)).otherwise(F.lit(1000))
+    sent = lines.withColumn("_after", F.explode(F.array(F.lit(0), F.lit(500), third))).select(
+        "order_id", "id", (F.col("detail_ts") + F.make_interval(secs=F.col("_after"))).alias("seen_at")
+    )
+    days = w.table("orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b")).first()
+    # The run is stopped in the middle of a day, between two sightings of its lines.
+    middle = F.lit(days["a"] + (days["b"] - days["a"]) / 2).cast("date").cast("timestamp") + F.make_interval(secs=F.lit(300))
+    for later in (False, True):
+        sent.where((F.col("seen_at") >= middle) == F.lit(later)).write.mode("append").parquet(topic)
+        stream = spark.readStream.schema(sent.schema).parquet(topic)
+        run_available(table_writer(dedupe_renewed(stream, "order_id", "id", "seen_at"), path), checkpoint)
+    return w.spark.read.parquet(path).select(
+        "order_id", F.col("id").alias("order_detail_id"), second_text(F.col("seen_at")).alias("seen_at")
+    )
+
+
 @query
 def pair_dedupe_stream(w: Warehouse) -> DataFrame:
     """Order lines sent twice pass once per (order, line)."""

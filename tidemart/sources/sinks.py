@@ -185,10 +185,19 @@ def archive_lines(
 
 
 def store_order_wide(wide: DataFrame, path: str, batch_id: int = 0) -> DataStreamWriter | None:
-    """Add wide rows by day for the amount queries. A batch is written at once, beside the
-    other batches of its days; a stream returns its writer, still to be given a checkpoint
-    and started."""
+    """Add wide rows for the amount queries: a folder per month, rows in order of their day,
+    so that a load of many years makes few files and a day is still read from a few row
+    groups of one folder (`read_day`). A batch is written at once, beside the other batches
+    of its months; a stream returns its writer, still to be given a checkpoint and started."""
+    dated = wide.withColumn("month", F.substring("dt", 1, 7))
     if wide.isStreaming:
-        return wide.writeStream.format("parquet").partitionBy("dt").option("path", path)
-    append_batch(wide, batch_id, path)
+        return dated.writeStream.format("parquet").partitionBy("month").option("path", path)
+    rows = by_day(dated, "month").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    (
+        rows.sortWithinPartitions("month", "batch_id", "dt")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month", "batch_id")
+        .parquet(path)
+    )
     return None

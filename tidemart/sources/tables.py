@@ -50,14 +50,19 @@ def stream_table(
 
 
 def read_day(spark: SparkSession, path: str, day: str, prev_days: int = 0) -> DataFrame:
-    """One day of a table partitioned by `dt`, with the days before it if asked.
+    """One day of a table partitioned by `dt`, or by `month` with a column `dt`, with the
+    days before it if asked.
 
-    The predicate is on the partition column, so other days are never listed.
+    The predicate is on the partition column, so other days or months are never listed.
     """
     last = dt.date.fromisoformat(day)
     days = [(last - dt.timedelta(days=i)).isoformat() for i in range(prev_days + 1)]
-    # The day column stays text even where Spark would infer a date from folder names.
-    return spark.read.parquet(path).where(F.col("dt").cast("string").isin(days))
+    rows = spark.read.parquet(path)
+    # Days and months stay text even where Spark would infer a date from folder names.
+    if "month" in rows.columns:
+        rows = rows.where(F.col("month").cast("string").isin(sorted({d[:7] for d in days})))
+        return rows.where(F.col("dt").isin(days)).drop("month")
+    return rows.where(F.col("dt").cast("string").isin(days))
 
 
 def between_days(df: DataFrame, ts_col: str, first: str, last: str) -> DataFrame:

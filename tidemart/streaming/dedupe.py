@@ -2,29 +2,107 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from typing import Any
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
+
+
+def _first_of_batch(keys: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = pa.table({**{f"k{i}": batch.column(k) for i, k in enumerate(keys)}, "at": range(batch.num_rows)})
+            first = named.group_by([f"k{i}" for i in range(len(keys))]).aggregate([("at", "min")])
+            yield batch.take(first["at_min"].combine_chunks().sort()) if batch.num_rows else batch
+
+    return run
 
 
 def dedupe_stream(
-    df: DataFrame, keys: Iterable[str], event_time: str, delay: str, salts: int = 4
+    df: DataFrame, keys: Iterable[str], event_time: str, delay: str, salts: int = 1
 ) -> DataFrame:
     """The first record seen per key; a key is remembered until the watermark passes
     its first event time plus `delay`.
 
-    With `salts` > 1 records are first deduplicated per (key, input partition group):
-    the copies of one key, however many, are dropped by `salts` tasks, and only
-    `salts` of them reach the task that decides. That costs a second state store,
-    with one entry per key as long as a key comes through one input partition.
+    Copies that lie in one Arrow batch are dropped where they are read, without state, so
+    of a record that a third of all rows repeat one row a batch is shuffled. With `salts`
+    > 1 the rest is first deduplicated per (key, input partition group) in a second state
+    store, so that only `salts` copies reach the task that decides.
     On a batch this is a plain dropDuplicates, which Spark runs in two steps anyway.
     """
     keys = list(keys)
     if not df.isStreaming:
         return df.dropDuplicates(keys)
-    marked = df.withWatermark(event_time, delay)
+    marked = df.mapInArrow(_first_of_batch(keys), df.schema).withWatermark(event_time, delay)
     if salts > 1:
         salted = marked.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
         marked = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
     return marked.dropDuplicatesWithinWatermark(keys)
+
+
+class _Renewed(StatefulProcessor):
+    """The members seen of one set. Every sighting renews the life of the whole set."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._members = handle.getMapState("members", "member string", "seen bigint")
+        self._ends = handle.getValueState("ends", "at bigint")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows))
+        batch = batch.sort_values(["seen_ms", "member_key"], kind="stable")
+        ends = before = self._ends.get()[0] if self._ends.exists() else None
+        passed = []
+        for at, until, member in zip(*[batch[c].tolist() for c in ("seen_ms", "until_ms", "member_key")]):
+            if ends is not None and at > ends:
+                self._members.clear()
+            new = not self._members.containsKey((member,))
+            if new:
+                self._members.updateValue((member,), (at,))
+            passed.append(new)
+            ends = until if ends is None else max(ends, until)
+        if ends != before:
+            if before is not None:
+                self._handle.deleteTimer(before + 1)
+            self._handle.registerTimer(ends + 1)
+            self._ends.update((ends,))
+        yield batch.loc[passed].drop(columns=["seen_ms", "until_ms", "member_key"])
+
+    def handleExpiredTimer(
+        self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo
+    ) -> Iterator[pd.DataFrame]:
+        self._members.clear()
+        self._ends.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def dedupe_renewed(
+    df: DataFrame, group: str, member: str, event_time: str, life: str = "600 seconds", delay: str = "600 seconds"
+) -> DataFrame:
+    """The rows of a stream whose member is new to the set of its group.
+
+    A set lives for `life` after the last sighting of any of its members: each sighting,
+    also of a member that is suppressed, renews it, and a group that was silent for longer
+    starts anew. Times are event times; rows of one micro-batch count in their order. State
+    is dropped by a timer that moves along with the sightings.
+    """
+    rows = df.withWatermark(event_time, delay).withColumns(
+        {
+            "seen_ms": F.unix_millis(event_time),
+            "until_ms": F.unix_millis(F.expr(f"{event_time} + INTERVAL {life}")),
+            "member_key": F.col(member).cast("string"),
+        }
+    )
+    out = T.StructType([f for f in rows.schema.fields if f.name not in ("seen_ms", "until_ms", "member_key")])
+    return rows.groupBy(group).transformWithStateInPandas(
+        _Renewed(), outputStructType=out, outputMode="append", timeMode="eventTime"
+    )

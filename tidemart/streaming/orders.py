@@ -6,14 +6,14 @@ from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemart.operators.first_order import first_order_flag, user_state
 from tidemart.operators.wide import detail_side, order_side, wide_columns
 from tidemart.schemas import FIRST_ORDER_FLAG
-from tidemart.sources.sinks import append_batch
+from tidemart.sources.sinks import append_batch, store_order_wide
 from tidemart.sources.tables import ensure_folder
 from tidemart.streaming.dedupe import dedupe_stream
 
@@ -38,13 +38,29 @@ def join_order_detail(
     Works on two batches and on two streams. In a stream both sides are kept until
     the watermark makes a match impossible. The lines of one order are spread over
     `salts` state partitions, and orders, the smaller side, are copied to each. A
-    record sent again is dropped before the join, so copies never multiply; many
-    copies of one record are dropped by `salts` tasks.
+    record sent again is dropped before the join, so copies never multiply.
     """
+    left, right, interval = _interval_sides(
+        orders, details, tolerance, order_ts, detail_ts, delay, salts, dedupe
+    )
+    return wide_columns(left.join(right, interval, "inner"), [order_ts, detail_ts], complete=True)
+
+
+def _interval_sides(
+    orders: DataFrame,
+    details: DataFrame,
+    tolerance: str,
+    order_ts: str,
+    detail_ts: str,
+    delay: str,
+    salts: int,
+    dedupe: bool,
+) -> tuple[DataFrame, DataFrame, Column]:
+    """(lines, orders, condition) of the interval join; with `_ls` and `_rs` if salted."""
     streaming = orders.isStreaming
     if dedupe:
-        orders = dedupe_stream(orders, ["id"], order_ts, delay, salts)
-        details = dedupe_stream(details, ["order_id", "id"], detail_ts, delay, salts)
+        orders = dedupe_stream(orders, ["id"], order_ts, delay)
+        details = dedupe_stream(details, ["order_id", "id"], detail_ts, delay)
     elif streaming:
         orders = orders.withWatermark(order_ts, delay)
         details = details.withWatermark(detail_ts, delay)
@@ -58,7 +74,73 @@ def join_order_detail(
         left = left.withColumn("_ls", F.pmod(F.xxhash64("order_detail_id"), F.lit(salts)).cast("int"))
         right = right.withColumn("_rs", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         interval = interval & (F.col("_ls") == F.col("_rs"))
-    return wide_columns(left.join(right, interval, "inner"), [order_ts, detail_ts], complete=True)
+    return left, right, interval
+
+
+# Both sides, also without a partner ------------------------------------------------
+
+BOTH, ORDER_ONLY, DETAIL_ONLY = "both", "order", "detail"
+
+
+def outer_join_order_detail(
+    orders: DataFrame,
+    details: DataFrame,
+    tolerance: str = SHORT_TOLERANCE,
+    order_ts: str = "order_ts",
+    detail_ts: str = "detail_ts",
+    delay: str = LONG_TOLERANCE,
+    salts: int = 4,
+    dedupe: bool = True,
+) -> DataFrame:
+    """Wide rows with `side`: 'both', 'order' for an order that no line came for within
+    `tolerance`, and 'detail' for a line without its order.
+
+    In a stream a pair leaves as soon as both are there, and a row without a partner when
+    the watermark makes one impossible. An order waits in `salts` places, each for its
+    share of the lines, and is reported by every place that saw none: `copies` is the
+    number of places, and `save_sides` keeps an order that all of them report. All copies
+    have one time, so the watermark passes them in one micro-batch.
+    """
+    salted = orders.isStreaming and salts > 1
+    left, right, interval = _interval_sides(
+        orders, details, tolerance, order_ts, detail_ts, delay, salts, dedupe
+    )
+    joined = left.join(right, interval, "full")
+    side = (
+        F.when(F.col("_order").isNull(), ORDER_ONLY).when(F.col("order_id").isNull(), DETAIL_ONLY).otherwise(BOTH)
+    )
+    # A line without its order still says which order it waited for.
+    known = joined.withColumns({"side": side, "_id": F.coalesce("order_id", "_order")})
+    rows = known.drop("order_id").withColumnRenamed("_id", "order_id")
+    return wide_columns(rows, ["side", order_ts, detail_ts]).withColumn("copies", F.lit(salts if salted else 1))
+
+
+def save_sides(wide_path: str, unmatched_path: str) -> Callable[[DataFrame, int], None]:
+    """Batch function for `outer_join_order_detail`: pairs to the wide table, and what
+    found no partner, with its `side`, to another."""
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            pairs = batch.where(F.col("side") == BOTH)
+            store_order_wide(pairs.drop("side", "copies"), wide_path, batch_id)
+            append_batch(without_partner(batch), batch_id, unmatched_path, ("side",))
+        finally:
+            batch.unpersist()
+
+    return save
+
+
+def without_partner(rows: DataFrame) -> DataFrame:
+    """The rows of one micro-batch, or of a whole batch join, without a partner; an order
+    only if every place it waited in reports it."""
+    alone = rows.where(F.col("side") != BOTH)
+    kept = [c for c in rows.columns if c != "copies"]
+    # A line waits in one place only.
+    lines = alone.where(F.col("side") == DETAIL_ONLY).select(*kept)
+    orders = alone.where(F.col("side") == ORDER_ONLY)
+    whole = orders.groupBy(*kept).agg(F.count("*").alias("_n"), F.max("copies").alias("_copies"))
+    return whole.where(F.col("_n") == F.col("_copies")).select(*kept).unionByName(lines)
 
 
 # First orders -----------------------------------------------------------------
