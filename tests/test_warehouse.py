@@ -5,11 +5,13 @@ from pyspark.sql import functions as F
 
 from oracle import connect, differences
 from tidemart.functions.text import json_text
-from tidemart.operators.wide import split_amount
+from tidemart.operators.metrics import order_total_amount
 from tidemart.plans.oracles import ORACLES
 from tidemart.plans.warehouse import Warehouse
+from tidemart.schemas import USER_FIRST_ORDER
 from tidemart.session import state_session, work_dir
 from tidemart.sources import retail
+from tidemart.sources.keyed import KeyedTable
 from tidemart.sources.sinks import topic_rows, topic_sink
 from tidemart.sources.topics import topic_source
 from tidemart.streaming import warehouse as jobs
@@ -61,33 +63,54 @@ def built(spark):
         run(jobs.dimension(session, layout, table))
     run(jobs.order_info(session, layout))
     run(jobs.order_detail(session, layout))
+    # An order and a line of a later year, which let the watermark pass all others, and
+    # records that cannot be read, or have no time.
+    for topic, closing in (
+        (jobs.ORDER_TOPIC, '{"id":-1,"create_time":"2030-01-01 00:00:00"}'),
+        (jobs.DETAIL_TOPIC, '{"id":-2,"order_id":-2,"create_time":"2030-01-01 00:00:00"}'),
+    ):
+        lines = [(closing,), ('{"id":-3,"create_time":"soon"}',), ("{broken",), (None,)]
+        topic_sink(topic_rows(spark.createDataFrame(lines, "value string"), F.lit(topic)), layout.topics)
+    for topic in jobs.STAGED:
+        run(jobs.stage(session, layout, topic))
     run(jobs.order_wide(session, layout, "600 seconds"))
+    run(jobs.order_unmatched(session, layout, "600 seconds"))
     run(jobs.daily_devices(session, layout))
     return layout
 
 
 def test_wide_rows_equal_the_batch(spark, built):
-    """The streamed wide rows, with amounts split, are the rows of the SQL definition."""
-    stored = spark.read.parquet(built.table("order_wide")).withColumn("dt", F.col("dt").cast("string"))
-    # The line number travels in the line's time: five seconds per line.
-    details = topic_source(spark, jobs.DETAIL_TOPIC, path=built.topics, stream=False)
-    times = details.select(
-        F.get_json_object("value", "$.id").cast("bigint").alias("order_detail_id"),
-        F.get_json_object("value", "$.create_time").alias("line_time"),
-    )
-    wide = split_amount(
-        stored.join(times, "order_detail_id"),
-        "final_total_amount", "sku_price", "order_id", ["line_time", "order_detail_id"],
-    ).drop("line_time")
+    """The streamed wide rows, with the shares of their lines, are the rows of the SQL definition."""
+    wide = spark.read.parquet(built.table("order_wide")).drop("month")
     assert differences(wide, connect(FOLDER), ORACLES["order_wide"]) == ""
 
 
+def test_amounts_of_the_streamed_table_add_up_by_day(spark, built):
+    wide = spark.read.parquet(built.table("order_wide"))
+    assert differences(order_total_amount(wide), connect(FOLDER), ORACLES["order_total_amount"]) == ""
+
+
+def test_orders_without_lines_are_reported(spark, built):
+    alone = spark.read.parquet(built.table("order_unmatched")).where("order_id > 0")
+    assert alone.where("side = 'detail'").count() == 0
+    orders = alone.select(F.col("order_id").alias("id"), "user_id", "final_total_amount")
+    assert differences(orders, connect(FOLDER), ORACLES["orders_without_detail"]) == ""
+
+
+def test_unreadable_records_are_kept_once(spark, built):
+    rows = spark.read.parquet(jobs.rejects(built)).collect()
+    found = sorted((r["topic"], r["value"] or "") for r in rows)
+    bad = ["", '{"id":-3,"create_time":"soon"}', "{broken"]
+    assert found == [(t, v) for t in sorted((jobs.ORDER_TOPIC, jobs.DETAIL_TOPIC)) for v in bad]
+    assert all(r["arrived"] is not None and r["position"] is not None for r in rows)
+
+
 def test_orders_are_kept_by_day_with_their_flags(spark, built):
     orders = read_grown(spark, built.table("order_info"), ["id"])
     first = orders.where("if_first_order = '1'")
     assert orders.count() == 1500
     assert first.count() == first.select("user_id").distinct().count() == orders.select("user_id").distinct().count()
-    state = read_grown(spark, built.table("user_state"), ["user_id"])
+    state = KeyedTable(built.table("user_state"), USER_FIRST_ORDER, ["user_id"], oldest=["batch_id"]).read(spark)
     assert state.count() == first.count() and state.where("if_consumed <> '1'").count() == 0
 
 

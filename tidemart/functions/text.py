@@ -40,19 +40,33 @@ def computed_once(df: DataFrame, row: Column, *keep: str) -> DataFrame:
     return df.select(*keep, F.inline(F.array(row)))
 
 
+def parse_marked(
+    df: DataFrame, schema: T.StructType, col: str = "value", keep: Iterable[str] = (), valid: Column | None = None
+) -> DataFrame:
+    """JSON text as typed rows, parsed once: the columns of `schema`, those to `keep`, the
+    text as `value`, and `rejected`: whether it did not parse, or is not `valid`, a condition
+    on the typed columns."""
+    keep = list(keep)
+    probe = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    text = df.select(F.col(col).alias("_text"), *keep)
+    whole = F.struct(F.from_json("_text", probe, options).alias("_json"))
+    parsed = computed_once(text, whole, "_text", *keep).select("_text", *keep, "_json.*", F.isnull("_json").alias("_none"))
+    # An empty text, or one that is JSON but no object, gives no row at all.
+    broken = F.col("_text").isNull() | F.col("_corrupt").isNotNull() | F.col("_none")
+    if valid is not None:
+        broken = broken | ~F.coalesce(valid, F.lit(False))
+    return parsed.select(*schema.names, *keep, F.col("_text").alias("value"), broken.alias("rejected"))
+
+
 def parse_json(
     df: DataFrame, schema: T.StructType, col: str = "value", keep: Iterable[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """Split JSON text into typed rows and rejects (`value` of what did not parse).
     Further columns to `keep` follow the typed ones."""
     keep = list(keep)
-    probe = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    text = df.select(F.col(col).alias("_text"), *keep)
-    parsed = computed_once(text, F.from_json("_text", probe, options), "_text", *keep)
-    broken = F.col("_text").isNull() | F.col("_corrupt").isNotNull()
-    good = parsed.where(~broken).select(*schema.names, *keep)
-    return good, parsed.where(broken).select(F.col("_text").alias("value"))
+    marked = parse_marked(df, schema, col, keep)
+    return marked.where(~F.col("rejected")).select(*schema.names, *keep), marked.where("rejected").select("value")
 
 
 def json_text(*cols: str | Column) -> Column:

@@ -434,3 +434,56 @@ lives AS (
 SELECT order_id, id AS order_detail_id, strftime(min(seen), {_SECOND}) AS seen_at
 FROM lives GROUP BY order_id, id, life
 """
+
+ORACLES["stored_offsets"] = """
+SELECT 'LOG' AS topic, 'warehouse' AS group_id, CAST(later AS BIGINT) AS batch_id, 0 AS part,
+       CAST(later AS BIGINT) AS "offset", count(*) AS n_rows
+FROM (SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END AS later FROM events) GROUP BY later
+"""
+ORACLES["topic_rejects"] = f"""
+SELECT 'ODS_ORDER_INFO' AS topic, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS id,
+       CASE WHEN o_orderkey % 7 = 0 THEN substr({_ORDER_JSON}, 1, 25) END AS value FROM orders
+"""
+ORACLES["late_rows"] = """
+WITH sent AS (
+  SELECT event_id AS log_id, CAST(user_id AS VARCHAR) AS mid, CAST(ts AS TIMESTAMP) AS seen,
+         least((extract(day FROM ts) - 1) // 10, 2) + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END AS turn
+  FROM events),
+clock AS (SELECT turn, max(seen) AS greatest FROM sent GROUP BY turn),
+passed AS (
+  SELECT s.*, (SELECT max(greatest) - INTERVAL 1 DAY FROM clock c WHERE c.turn < s.turn) AS wm FROM sent s)
+SELECT log_id, mid, CASE WHEN seen <= wm THEN CAST(epoch_us(wm) - epoch_us(seen) AS DOUBLE) / 1000000 END AS late_by
+FROM passed
+"""
+ORACLES["dimension_job"] = f"""
+SELECT CAST(o_custkey AS VARCHAR) AS id, 'user of order ' || o_orderkey AS name, o_orderstatus AS gender,
+       strftime(o_orderdate, {_SECOND}) AS changed, o_orderkey AS version
+FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
+"""
+ORACLES["dau_total_day"] = f"""
+SELECT * FROM (WITH {_LOGS} {_DAU_TOTAL}) AS t WHERE dt IN ('2024-01-09', '2024-01-10')
+"""
+ORACLES["order_total_day"] = f"""
+WITH {_SPLIT}
+SELECT '1998-06-15' AS dt, CAST(coalesce(sum(final_detail_amount), 0) AS DECIMAL(28,2)) AS order_total_amount
+FROM split WHERE dt = '1998-06-15'
+"""
+ORACLES["order_hour_day"] = f"""
+SELECT * FROM (WITH {_PURCHASES}, {_HOURLY}, {_COMPARE}) AS t WHERE dt = '2024-01-10'
+"""
+ORACLES["sale_detail_day"] = f"""
+WITH {_ORDERS}, {_DETAILS}, hits AS (
+  SELECT o.dt, o.id AS order_id, d.id AS order_detail_id, p_name AS sku_name
+  FROM order_info o JOIN order_detail d ON d.order_id = o.id JOIN part ON p_partkey = d.sku_id
+  WHERE contains(p_name, 'ring') AND o.dt = '1998-06-15')
+SELECT *, replace(sku_name, 'ring', '<em>ring</em>') AS highlighted,
+       (SELECT count(*) FROM hits) AS total
+FROM hits ORDER BY dt, order_id, order_detail_id LIMIT 20
+"""
+
+ORACLES["dau_rollup"] = ORACLES["dau_hour_count"]
+ORACLES["order_rollup"] = ORACLES["order_hour_amount"]
+ORACLES["search_deep_page"] = f"""
+WITH {_DETAILS}
+SELECT id, order_id, price AS order_price FROM order_detail ORDER BY price DESC, id LIMIT 20 OFFSET 5000
+"""

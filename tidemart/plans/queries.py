@@ -15,15 +15,19 @@ from tidemart.functions.text import json_text, mask_cols, parse_json, stable_id,
 from tidemart.functions.times import age_group, order_time_parts, second_text
 from tidemart.operators import devices, first_order, metrics, routing, search, wide
 from tidemart.operators.dimensions import enrich_province, upsert_latest
+from tidemart.operators.pages import ranged_page, store_ranges
 from tidemart.plans.warehouse import Warehouse, with_user
 from tidemart.session import state_session, tune, work_dir
-from tidemart.sources import retail, sinks
-from tidemart.sources.tables import sql_to_json_rows, stream_table
+from tidemart.sources import offsets, retail, sinks
+from tidemart.sources.keyed import KeyedTable
+from tidemart.sources.rollup import RollUp
+from tidemart.sources.tables import read_day, sql_to_json_rows, stream_table
 from tidemart.sources.topics import topic_source
 from tidemart.streaming import devices as device_streams
 from tidemart.streaming import orders as order_streams
 from tidemart.streaming.dedupe import dedupe_renewed, dedupe_stream
-from tidemart.streaming.jobs import each_batch, run_available, table_writer
+from tidemart.streaming.jobs import each_batch, each_parsed, run_available, start, table_writer
+from tidemart.streaming.late import split_late
 from tidemart.streaming.shares import split_amount_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -710,3 +714,179 @@ def resume_from_checkpoint(w: Warehouse) -> DataFrame:
         source = topic_source(spark, "LOG", path=topic)
         run_available(table_writer(source, out), checkpoint)
     return w.spark.read.parquet(out).select("key", "value")
+
+
+@query
+def stored_offsets(w: Warehouse) -> DataFrame:
+    """What two runs over one topic have read, from their own reports."""
+    spark = state_session(w.spark)
+    topic, out, checkpoint = work_dir(spark, "topic"), work_dir(spark, "out"), work_dir(spark, "checkpoint")
+    table = work_dir(spark, "offsets")
+    logs = retail.app_log_lines(w.logs())
+    half = F.lit("2024-01-16").cast("timestamp")
+    for part in (logs.where(F.col("event_time") < half), logs.where(F.col("event_time") >= half)):
+        sinks.topic_sink(sinks.topic_rows(part, F.lit("LOG"), "value", "log_id"), topic)
+        run = start(table_writer(topic_source(spark, "LOG", path=topic), out), checkpoint, available_now=True)
+        run.awaitTermination()
+        offsets.save_query_offsets(spark, run, "warehouse", table)
+    return offsets.read_offsets(w.spark, table)
+
+
+@query
+def topic_rejects(w: Warehouse) -> DataFrame:
+    """Order records of which every seventh is cut off, in two runs: the typed orders, and
+    the records that could not be read."""
+    spark = state_session(w.spark)
+    topics, good, bad = work_dir(spark, "topics"), work_dir(spark, "orders"), work_dir(spark, "rejects")
+    checkpoint = work_dir(spark, "checkpoint")
+    text = retail.order_json()
+    cut = F.when(F.col("o_orderkey") % 7 == 0, F.substring(text, 1, 25)).otherwise(text)
+    lines = w.table("orders").select("o_orderkey", cut.alias("value"))
+    for later in (0, 1):
+        part = lines.where(F.col("o_orderkey") % 2 == later)
+        sinks.topic_sink(sinks.topic_rows(part, F.lit("ODS_ORDER_INFO"), "value"), topics)
+        source = topic_source(spark, "ODS_ORDER_INFO", path=topics)
+
+        def save(rows: DataFrame, batch_id: int) -> None:
+            sinks.append_batch(rows, batch_id, good, ())
+
+        run_available(each_parsed(source, schemas.ORDER_INFO, save, bad), checkpoint)
+    orders = w.spark.read.parquet(good).select("topic", "id", F.lit(None).cast("string").alias("value"))
+    broken = w.spark.read.parquet(bad).select("topic", F.lit(None).cast("bigint").alias("id"), "value")
+    return orders.unionByName(broken)
+
+
+@query
+def late_rows(w: Warehouse) -> DataFrame:
+    """Logs in three runs of ten days each, of which every fiftieth comes a run late: the
+    rows on time, and those the watermark had passed, with the seconds it had."""
+    spark = state_session(w.spark)
+    topic, checkpoint = work_dir(spark, "logs"), work_dir(spark, "checkpoint")
+    on_time, late, clock = (work_dir(spark, name) for name in ("on_time", "late", "clock"))
+
+    def save(rows: DataFrame, batch_id: int) -> None:
+        sinks.append_batch(rows, batch_id, on_time, ())
+
+    day = F.dayofmonth("event_time")
+    turn = F.least(F.floor((day - 1) / 10), F.lit(2)) + F.when(F.col("log_id") % 50 == 0, 1).otherwise(0)
+    logs = w.logs().select("log_id", "mid", "event_time", turn.cast("int").alias("turn"))
+    for number in range(4):
+        logs.where(F.col("turn") == number).drop("turn").write.mode("append").parquet(topic)
+        stream = spark.readStream.schema("log_id bigint, mid string, event_time timestamp").parquet(topic)
+        writer = each_batch(stream, split_late(save, late, clock, "event_time", "1 day"))
+        run_available(writer, checkpoint)
+    passed = w.spark.read.parquet(on_time).select("log_id", "mid", F.lit(None).cast("double").alias("late_by"))
+    return passed.unionByName(w.spark.read.parquet(late).select("log_id", "mid", "late_by"))
+
+
+@query
+def dimension_job(w: Warehouse) -> DataFrame:
+    """Each order is one change of its user; two batches, the second one twice."""
+    changes = w.table("orders").select(
+        F.col("o_custkey").cast("string").alias("id"),
+        F.concat(F.lit("user of order "), F.col("o_orderkey").cast("string")).alias("name"),
+        F.lit(None).cast("string").alias("birthday"),
+        F.col("o_orderstatus").alias("gender"),
+        second_text(F.col("o_orderdate").cast("timestamp")).alias("changed"),
+        F.col("o_orderkey").alias("version"),
+    )
+    shape = StructType([*schemas.USER_INFO.fields, *schemas.struct(changed=schemas.TEXT, version=schemas.LONG).fields])
+    kept = KeyedTable(work_dir(w.spark, "users"), shape, ["id"], newest=["changed", "version"], buckets=16)
+    for batch, rows in _two_batches(changes, F.col("version")):
+        kept.save(rows, batch)
+    return kept.read(w.spark).select("id", "name", "gender", "changed", "version")
+
+
+# Stored tables, a day at a time ----------------------------------------------------------
+
+
+DAY = "2024-01-10"
+ORDER_DAY = "1998-06-15"
+
+
+@query
+def dau_total_day(w: Warehouse) -> DataFrame:
+    """Devices of a day and of the day before, from the folders of those days."""
+    path = work_dir(w.spark, "dau")
+    sinks.save_by_id(devices.dau_info(w.logs()), path, ["mid"], oldest=["ts"])
+    stored = read_day(w.spark, path, DAY, prev_days=1).withColumn("dt", F.col("dt").cast("string"))
+    return devices.dau_total(stored)
+
+
+def _stored_wide(w: Warehouse, wide_rows: DataFrame) -> str:
+    path = work_dir(w.spark, "wide")
+    sinks.store_order_wide(wide_rows, path)
+    return path
+
+
+@query
+def order_total_day(w: Warehouse) -> DataFrame:
+    """The amount of one day, summed over the shares of the stored wide table."""
+    path = _stored_wide(w, w.amounts())
+    return metrics.order_total_amount(read_day(w.spark, path, ORDER_DAY), ORDER_DAY)
+
+
+@query
+def order_hour_day(w: Warehouse) -> DataFrame:
+    """Amounts per hour of one day and of the day before, hours 00 to 23."""
+    path = _stored_wide(w, w.purchase_wide())
+    hourly = metrics.order_hour_amount(read_day(w.spark, path, DAY, prev_days=1))
+    return metrics.hour_compare(hourly, "order_amount", DAY)
+
+
+@query
+def sale_detail_day(w: Warehouse) -> DataFrame:
+    """Lines of one day whose sku name holds a keyword, from the stored wide table."""
+    lines = wide.widen(order_time_parts(w.orders()), w.with_sku(w.details()))
+    path = _stored_wide(w, lines)
+    page = search.sale_detail_page(read_day(w.spark, path, ORDER_DAY), ORDER_DAY, "ring", limit=20)
+    return page.select("dt", "order_id", "order_detail_id", "sku_name", "highlighted", "total")
+
+
+# Kept up to date ---------------------------------------------------------------------------
+
+
+@query
+def dau_rollup(w: Warehouse) -> DataFrame:
+    """Hourly active devices after two batches, the later logs first: the earlier ones move
+    devices to another hour. The second batch comes twice."""
+    kept = RollUp(work_dir(w.spark, "dau"), ["mid", "dt"], schemas.LONG, oldest="ts", buckets=16)
+    logs = devices.dau_info(w.logs()).withColumn("amount", F.lit(1))
+    noon = F.col("hr") < "12"
+    for batch, rows in ((0, logs.where(~noon)), (1, logs.where(noon)), (1, logs.where(noon))):
+        kept.save(rows, batch)
+    return kept.read(w.spark).select("dt", "hr", "n")
+
+
+@query
+def order_rollup(w: Warehouse) -> DataFrame:
+    """Hourly amounts after a correction: in the first batch every third order was booked for
+    another amount, an hour of another day."""
+    kept = RollUp(work_dir(w.spark, "amounts"), ["id"], schemas.MONEY, newest="version", buckets=16)
+    orders = order_time_parts(w.purchases()).select(
+        "id",
+        F.col("create_date").alias("dt"),
+        F.col("create_hour").alias("hr"),
+        F.col("final_total_amount").alias("amount"),
+        F.lit(1).alias("version"),
+    )
+    wrong = F.col("id") % 3 == 0
+    booked = orders.withColumns(
+        {
+            "dt": F.when(wrong, "2024-02-01").otherwise(F.col("dt")),
+            "amount": F.when(wrong, F.col("amount") + 1).otherwise(F.col("amount")),
+            "version": F.lit(0),
+        }
+    )
+    for batch, rows in ((0, booked), (1, orders.where(wrong)), (1, orders.where(wrong))):
+        kept.save(rows, batch)
+    return kept.read(w.spark).select("dt", "hr", F.col("amount").alias("order_amount"))
+
+
+@query
+def search_deep_page(w: Warehouse) -> DataFrame:
+    """Twenty order lines from the 5000th on, dearest first, from the range that holds them."""
+    path = work_dir(w.spark, "ranges")
+    order = [F.desc("order_price"), "id"]
+    store_ranges(w.details().select("id", "order_id", "order_price"), path, order, ranges=16)
+    return ranged_page(w.spark, path, order, 5000, 20)

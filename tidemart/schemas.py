@@ -111,3 +111,6 @@ ORDER_WIDE = struct(
 TOPIC_RECORD = struct(key=TEXT, value=TEXT)
 
 FIRST_ORDER_FLAG = struct(id=LONG, user_id=LONG, create_time=TEXT, if_first_order=TEXT)
+
+# The state of the order job: who has ordered, and the order that was the first.
+USER_FIRST_ORDER = struct(user_id=TEXT, if_consumed=TEXT, order_id=LONG)

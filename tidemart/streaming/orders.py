@@ -12,9 +12,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemart.operators.first_order import first_order_flag, user_state
 from tidemart.operators.wide import detail_side, order_side, wide_columns
-from tidemart.schemas import FIRST_ORDER_FLAG
+from tidemart.schemas import FIRST_ORDER_FLAG, USER_FIRST_ORDER
+from tidemart.sources.keyed import KeyedTable
 from tidemart.sources.sinks import append_batch, store_order_wide
-from tidemart.sources.tables import ensure_folder
 from tidemart.streaming.dedupe import dedupe_stream
 
 # The window of the short join and the life of the long join's buffers.
@@ -240,17 +240,23 @@ def save_first_orders(
 ) -> Callable[[DataFrame, int], None]:
     """Batch function of the order job: flag, write orders, write user state.
 
-    The same rule in table form: the state is a table grown by batch, with the id of the
-    user's first order, and a batch only sees the state of the batches before it. So
-    running one again gives the same flags, and so does sending an order again later.
+    The same rule in table form: the state is a table kept by user, with the id of the
+    user's first order and its batch, and a batch only sees the state of the batches before
+    it. So running one again gives the same flags, and so does sending an order again later.
+    Only the state of the buckets that the batch's users fall into is read and written.
     Everything is joined by unique keys. `prepare` may add columns to the flagged orders
     and `emit` send them on.
     """
     partitions = list(partitions)
+    kept = KeyedTable(state_path, USER_FIRST_ORDER, ["user_id"], oldest=["batch_id"])
 
     def save(batch: DataFrame, batch_id: int) -> None:
         orders = batch.dropDuplicates(["id"])
-        state = _state_before(orders, state_path, batch_id)
+        users = orders.select(F.col("user_id").cast("string").alias("user_id")).distinct()
+        # The batch is the small side: Spark broadcasts its users while they are below the
+        # threshold, and the state that is read is not shuffled.
+        state = kept.read_for(users).where(F.col("batch_id") < batch_id).drop("batch_id")
+        state = state.join(users, "user_id", "left_semi")
         known = state.select(F.col("order_id").alias("id"), F.lit(True).alias("_known")).distinct()
         flagged = first_order_flag(orders, state).join(known, "id", "left")
         flagged = flagged.withColumn("if_first_order", F.when(F.col("_known"), "1").otherwise(F.col("if_first_order")))
@@ -266,31 +272,13 @@ def save_first_orders(
                 emit(flagged.drop("_new"), batch_id)
             # Users who had a state keep it: one row per user, however often they order.
             firsts = flagged.where("if_first_order = '1' and _new")
-            rows = user_state(firsts, F.col("id").alias("order_id"))
-            append_batch(rows, batch_id, state_path, ())
+            kept.save(user_state(firsts, F.col("id").alias("order_id")), batch_id)
         finally:
             flagged.unpersist()
 
     return save
 
 
-def _state_before(orders: DataFrame, state_path: str, batch_id: int) -> DataFrame:
-    """The state of the batch's users left by earlier batches.
-
-    The batch is the small side: its users are broadcast by Spark while they are
-    below the threshold, and the state of all users is read but not shuffled.
-    """
-    spark = orders.sparkSession
-    state = (
-        spark.read.schema("user_id string, if_consumed string, order_id bigint, batch_id bigint")
-        .parquet(ensure_folder(spark, state_path))
-        .where(F.col("batch_id") < batch_id)
-        .drop("batch_id")
-    )
-    users = orders.select(F.col("user_id").cast("string").alias("user_id")).distinct()
-    return state.join(users, "user_id", "left_semi")
-
-
 def save_upserts(path: str, columns: Iterable[str] | None = None) -> Callable[[DataFrame, int], None]:
     """Batch function of a dimension job: keep every change, newest wins on reading."""
     return lambda batch, batch_id: append_batch(

@@ -13,16 +13,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tidemart import schemas
-from tidemart.functions.text import json_text, parse_json
+from tidemart.functions.text import json_text
 from tidemart.functions.times import age_group, order_time_parts
 from tidemart.operators.dimensions import enrich, enrich_province, enrich_sku
 from tidemart.operators.routing import START_TOPIC, change_records, route_app_log, route_cdc
-from tidemart.sources.sinks import append_batch, read_grown, store_order_wide, topic_rows, topic_sink
+from tidemart.sources.keyed import KeyedTable
+from tidemart.sources.sinks import append_batch, store_order_wide, topic_rows, topic_sink
 from tidemart.sources.tables import ensure_folder
 from tidemart.sources.topics import topic_source
 from tidemart.streaming.devices import dau_stream, save_dau
-from tidemart.streaming.jobs import each_batch
-from tidemart.streaming.orders import SHORT_TOLERANCE, join_order_detail, save_first_orders
+from tidemart.streaming.jobs import RECORD, each_batch, each_parsed
+from tidemart.streaming.orders import (
+    BOTH,
+    SHORT_TOLERANCE,
+    join_order_detail,
+    outer_join_order_detail,
+    save_first_orders,
+    without_partner,
+)
+from tidemart.streaming.shares import split_amount_stream
 
 # Topics of the enriched orders and lines.
 ORDER_TOPIC = "DWD_ORDER_INFO"
@@ -109,37 +118,71 @@ def route_changes(lines: DataFrame, layout: Layout, payload: str = "object") ->
     return layout.sink(topic_rows(routed, "topic"), f"route_changes_{payload}")
 
 
+def rejects(layout: Layout) -> str:
+    """The table of records that no job could read: topic, arrived, position, value, batch_id."""
+    return layout.table("rejects")
+
+
+def _timed(schema: schemas.T.StructType) -> F.Column | None:
+    """Orders and lines need a time: without one they would wait in the join for ever."""
+    return F.col("create_time").try_cast("timestamp").isNotNull() if "create_time" in schema.names else None
+
+
+# Topics that stateful jobs read: their records are parsed by a job of its own.
+STAGED = {START_TOPIC: schemas.APP_LOG, ORDER_TOPIC: RICH_ORDER, DETAIL_TOPIC: RICH_DETAIL}
+
+
+def stage(spark: SparkSession, layout: Layout, topic: str) -> DataStreamWriter:
+    """The records of a topic as typed rows, for the stateful jobs; the others to `rejects`."""
+    schema = STAGED[topic]
+    path = layout.table(f"staged/{topic}")
+
+    def save(rows: DataFrame, batch_id: int) -> None:
+        append_batch(rows, batch_id, path, ())
+
+    return each_parsed(layout.source(spark, topic), schema, save, rejects(layout), _timed(schema))
+
+
+def staged(spark: SparkSession, layout: Layout, topic: str) -> DataFrame:
+    """The typed rows of a topic as a stream."""
+    record = schemas.struct(topic=_TEXT, arrived=schemas.T.TimestampType(), position=schemas.LONG)
+    schema = schemas.T.StructType([*STAGED[topic].fields, *record.fields])
+    path = ensure_folder(spark, layout.table(f"staged/{topic}"))
+    return spark.readStream.schema(schema).parquet(path)
+
+
 def daily_devices(spark: SparkSession, layout: Layout) -> DataStreamWriter:
-    """Start logs to the table of daily devices (`dau`)."""
-    good, _ = parse_json(layout.source(spark, START_TOPIC), schemas.APP_LOG, keep=["position"])
-    logs = good.select(
+    """Staged start logs to the table of daily devices (`dau`)."""
+    logs = staged(spark, layout, START_TOPIC).select(
         "common.*", "ts", F.col("position").alias("log_id"), F.timestamp_millis("ts").alias("event_time")
     )
     return each_batch(dau_stream(logs), save_dau(layout.table("dau")), "update")
 
 
+def dimension_table(layout: Layout, table: str) -> KeyedTable:
+    schema, key = DIMENSIONS[table]
+    arrival = schemas.struct(arrived=schemas.T.TimestampType(), position=schemas.LONG)
+    full = schemas.T.StructType([*schema.fields, *arrival.fields])
+    return KeyedTable(layout.table(table), full, [key], newest=["batch_id", *_ARRIVAL])
+
+
 def dimension(spark: SparkSession, layout: Layout, table: str) -> DataStreamWriter:
-    """Changes of one dimension table, in order of arrival."""
+    """Changes of one dimension table, the last to arrive wins. A batch reads and writes only
+    the buckets of its keys."""
     schema, _ = DIMENSIONS[table]
-    changes, _ = parse_json(layout.source(spark, table_topic_name(table)), schema, keep=_ARRIVAL)
-    path = layout.table(table)
-    return each_batch(changes, lambda batch, batch_id: append_batch(batch, batch_id, path, ()))
+    kept = dimension_table(layout, table)
+    return each_parsed(layout.source(spark, table_topic_name(table)), schema, kept.save, rejects(layout))
 
 
 def read_dimension(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     """The newest row per key; no rows before the first change."""
-    schema, key = DIMENSIONS[table]
-    arrival = schemas.struct(arrived=schemas.T.TimestampType(), position=schemas.LONG, batch_id=schemas.LONG)
-    grown = schemas.T.StructType([*schema.fields, *arrival.fields])
-    path = ensure_folder(spark, layout.table(table))
-    rows = read_grown(spark, path, [key], newest=["batch_id", *_ARRIVAL], schema=grown)
-    return rows.select(*schema.names)
+    schema, _ = DIMENSIONS[table]
+    return dimension_table(layout, table).read(spark).select(*schema.names)
 
 
 def order_info(spark: SparkSession, layout: Layout) -> DataStreamWriter:
     """Orders with first-order flag, province and user; to a table by day, to the
     user state, and to the topic of enriched orders, keyed by order id."""
-    orders, _ = parse_json(layout.source(spark, table_topic_name("order_info")), schemas.ORDER_INFO)
 
     def prepare(flagged: DataFrame) -> DataFrame:
         session = flagged.sparkSession
@@ -156,30 +199,45 @@ def order_info(spark: SparkSession, layout: Layout) -> DataStreamWriter:
     save = save_first_orders(
         layout.table("order_info"), layout.table("user_state"), ("dt",), prepare, emit
     )
-    return each_batch(order_time_parts(orders), save)
+    records = layout.source(spark, table_topic_name("order_info"))
+    return each_parsed(
+        records,
+        schemas.ORDER_INFO,
+        lambda rows, batch_id: save(order_time_parts(rows.drop(*RECORD)), batch_id),
+        rejects(layout),
+    )
 
 
 def order_detail(spark: SparkSession, layout: Layout) -> DataStreamWriter:
     """Order lines with sku, spu, trademark and category, to the topic of enriched lines."""
-    details, _ = parse_json(layout.source(spark, table_topic_name("order_detail")), schemas.ORDER_DETAIL)
 
     def save(batch: DataFrame, batch_id: int) -> None:
         names = ("sku_info", "spu_info", "base_trademark", "base_category3")
         dims = [read_dimension(batch.sparkSession, layout, name) for name in names]
-        rich = enrich_sku(batch, *dims)
+        rich = enrich_sku(batch.drop(*RECORD), *dims)
         records = topic_rows(rich, F.lit(DETAIL_TOPIC), json_text(*RICH_DETAIL.names))
         layout.sink(records, "order_detail", batch_id)
 
-    return each_batch(details, save)
+    records = layout.source(spark, table_topic_name("order_detail"))
+    return each_parsed(records, schemas.ORDER_DETAIL, save, rejects(layout))
+
+
+def _sides(spark: SparkSession, layout: Layout) -> tuple[DataFrame, DataFrame]:
+    at = F.col("create_time").try_cast("timestamp")
+    orders = staged(spark, layout, ORDER_TOPIC).drop(*RECORD).withColumn("order_ts", at)
+    return orders, staged(spark, layout, DETAIL_TOPIC).drop(*RECORD).withColumn("detail_ts", at)
 
 
 def order_wide(spark: SparkSession, layout: Layout, tolerance: str = SHORT_TOLERANCE) -> DataStreamWriter:
-    """Enriched orders and lines to wide rows by day."""
-    orders, _ = parse_json(layout.source(spark, ORDER_TOPIC), RICH_ORDER)
-    details, _ = parse_json(layout.source(spark, DETAIL_TOPIC), RICH_DETAIL)
-    joined = join_order_detail(
-        orders.withColumn("order_ts", F.col("create_time").try_cast("timestamp")),
-        details.withColumn("detail_ts", F.col("create_time").try_cast("timestamp")),
-        tolerance,
-    )
-    return store_order_wide(joined.drop("order_ts", "detail_ts"), layout.table("order_wide"))
+    """Staged orders and lines to wide rows, each line with its share of the amount. The rows
+    of an order leave when no line of it can come any more."""
+    joined = join_order_detail(*_sides(spark, layout), tolerance)
+    return store_order_wide(split_amount_stream(joined, wait=tolerance), layout.table("order_wide"))
+
+
+def order_unmatched(spark: SparkSession, layout: Layout, tolerance: str = SHORT_TOLERANCE) -> DataStreamWriter:
+    """Staged orders and lines to the table of those that found no partner, by side."""
+    sides = outer_join_order_detail(*_sides(spark, layout), tolerance)
+    alone = sides.where(F.col("side") != BOTH)
+    path = layout.table("order_unmatched")
+    return each_batch(alone, lambda batch, n: append_batch(without_partner(batch), n, path, ("side",)))
