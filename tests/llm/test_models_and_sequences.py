@@ -235,3 +235,45 @@ def test_warc_files_round_trip(spark):
     warc.write_warc(spark.createDataFrame(rows, schema), path)
     back = sorted(map(tuple, warc.read_warc(spark, path).collect()), key=lambda x: int(x[0]))
     assert back == [r for r in rows]
+
+
+def test_neighbours_hold_together_as_merging_says():
+    """Whole and cut pieces against merging the two texts as one, also without end pieces."""
+    import random
+
+    from tidemart.llm import pieces
+
+    v = pieces.load()
+    known = [p for p, i in v.ids.items() if v.sound[i]]
+    rng, broken = random.Random(8), 0
+    for k in range(20_000):
+        a, b = rng.choice(known), rng.choice(known)
+        if k % 2 and len(a) > 1:
+            cut = rng.randint(1, len(a) - 1)
+            a, b = a[:cut], a[cut:]
+            if not all(p in v.ids and v.sound[v.ids[p]] for p in (a, b)):
+                continue
+        expected = v.merged(a + b) == [a, b]
+        broken += not expected
+        assert v.together(a, b) == expected
+    assert broken > 1000 and v.together("\U0001f9ff", "a")
+    # A vocabulary whose pieces are not merged after their halves.
+    odd = pieces.Vocabulary(["ab", "abc", "a", "b", "c"], {"ab": -5.0, "abc": -1.0, "a": 0.0, "b": 0.0, "c": 0.0}, list(range(256)))
+    assert odd.left_ends is None and not odd.together("ab", "c") and odd.together("c", "ab")
+
+
+def test_decoding_of_many_rows_equals_one_by_one():
+    from tidemart.llm import pieces
+
+    v = pieces.load()
+    decoder, encoder = pieces.Decoder(v), pieces.Encoder(v)
+    texts = ["", " ", "a", " two  words ", "é𝄞\n\x00", "▁▁x", "word " * 3000]
+    rows = [list(map(int, e)) for e in encoder.encode(texts)]
+    rows += [[], [v.byte_ids[0xC3]], [v.byte_ids[0xC3], v.byte_ids[0xA9]], [0, 1, 2]]
+    values = np.array(sum(rows, []), dtype=np.int32)
+    offsets = np.cumsum([0, *map(len, rows)])
+    for most in (1, 7, 500_000):
+        pieces.RUN_PIECES, before = most, pieces.RUN_PIECES
+        assert decoder.decode_all(values, offsets).to_pylist() == [decoder.decode(r) for r in rows]
+        pieces.RUN_PIECES = before
+    assert decoder.decode_all(values[:0], np.array([0])).to_pylist() == []

@@ -38,6 +38,8 @@ KNOWN_CHUNKS = 400_000
 KNOWN_NEIGHBOURS = 1_000_000
 INDEX_CHARS = 200_000
 SLICE_BYTES = 2 << 20
+# Pieces that are decoded at once.
+RUN_PIECES = 500_000
 
 
 @dataclass
@@ -49,14 +51,21 @@ class Vocabulary:
     ids: dict[str, int] = field(init=False)
     sound: np.ndarray = field(init=False)
     longest: int = field(init=False)
+    left_ends: dict[str, list[tuple[str, float]]] | None = field(init=False)
+    right_ends: dict[str, list[tuple[str, float]]] | None = field(init=False)
 
     def __post_init__(self) -> None:
         self.ids = {p: i for i, p in enumerate(self.pieces) if p in self.scores}
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
         self.longest = max(map(len, self.scores), default=1)
         self.sound = np.zeros(len(self.pieces), dtype=bool)
+        halves = {}
         for piece, i in self.ids.items():
-            self.sound[i] = self.merged(piece) == [piece]
+            parts = self.merged(piece, 2)
+            self.sound[i] = len(parts) <= 2
+            if len(piece) > 1 and self.sound[i]:
+                halves[piece] = parts
+        self._end_pieces(halves)
         if any(SPACE in piece.lstrip(SPACE) for piece in self.scores):
             raise ValueError("a piece with a space inside needs another way to cut texts")
         if any("\n" in piece for piece in self.scores):
@@ -64,10 +73,11 @@ class Vocabulary:
         if len(self.pieces) > 1 << 16:
             raise ValueError("more than 65536 pieces")
 
-    def merged(self, text: str) -> list[str]:
-        """Merge characters pair by pair: the best score first, the leftmost among equals."""
+    def merged(self, text: str, least: int = 1) -> list[str]:
+        """Merge characters pair by pair, the best score first, the leftmost among equals,
+        until `least` parts are left."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > least:
             scores = [self.scores.get(a + b) for a, b in zip(parts, parts[1:])]
             best = max((s for s in scores if s is not None), default=None)
             if best is None:
@@ -76,6 +86,47 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def _end_pieces(self, halves: dict[str, list[str]]) -> None:
+        """For every piece the pieces that stood at its left and right end while it was
+        merged, from the whole one down to a character, each with the turn of its merge (its
+        negative score; a character was there from the start). Only if every piece is merged
+        after its halves, as in any vocabulary that was trained pair by pair."""
+        turn = {c: -np.inf if len(c) == 1 else -s for c, s in self.scores.items()}
+        self.left_ends, self.right_ends = {}, {}
+        for piece in sorted(halves, key=len):
+            left, right = halves[piece]
+            if max(turn.get(left, -np.inf), turn.get(right, -np.inf)) > turn[piece]:
+                self.left_ends = self.right_ends = None
+                return
+            own = [(piece, turn[piece])]
+            self.left_ends[piece] = own + self.left_ends.get(left, [(left, -np.inf)])
+            self.right_ends[piece] = own + self.right_ends.get(right, [(right, -np.inf)])
+
+    def together(self, a: str, b: str) -> bool:
+        """Whether two sound pieces stay as they are when their texts are merged as one.
+
+        Inside, both are merged as if alone until a pair across the border wins. Such a pair
+        stands side by side from the time its later half is there until one of its halves is
+        merged on, and it wins if its turn comes before that; among equal turns the left
+        merge is first. Going back in time from the whole pieces meets every such pair."""
+        if self.left_ends is None:
+            return self.merged(a + b) == [a, b]
+        lefts = self.right_ends.get(a) or [(a, -np.inf)]
+        rights = self.left_ends.get(b) or [(b, -np.inf)]
+        i = j = 0
+        until_left = until_right = np.inf
+        while True:
+            (x, since_left), (y, since_right) = lefts[i], rights[j]
+            score = self.scores.get(x + y)
+            if score is not None and -score < until_left and -score <= until_right:
+                return False
+            if since_left > since_right:
+                until_left, i = since_left, i + 1
+            elif since_right > -np.inf:
+                until_right, j = since_right, j + 1
+            else:
+                return True
+
 
 def load(path: str = MODEL) -> Vocabulary:
     import sentencepiece
@@ -143,6 +194,20 @@ class Encoder:
         self.key_points = np.zeros((len(points), vocabulary.longest), dtype=np.uint32)
         for i, p in enumerate(points):
             self.key_points[i, : len(p)] = p
+        # Characters are numbered from 1 over the whole vocabulary; all others share the number
+        # behind, as no piece holds them. So the pieces' sort keys are made once.
+        self.alphabet = np.unique(self.key_points[self.key_points > 0])
+        self.kind = np.dtype(">u2") if len(self.alphabet) < 0xFFF0 else np.dtype(">u4")
+        codes = np.searchsorted(self.alphabet, self.key_points) + 1
+        inside = np.arange(vocabulary.longest) < self.key_lengths[:, None]
+        self.key_codes = np.where(inside, codes, 0).astype(np.int64)
+        top = (1 << (8 * self.kind.itemsize)) - 1
+        self.key_low = self._as_key(np.where(inside, codes, 0))
+        self.key_top = self._as_key(np.where(inside, codes, top))
+
+    def _as_key(self, codes: np.ndarray) -> np.ndarray:
+        rows = np.ascontiguousarray(codes.astype(self.kind))
+        return rows.view(f"S{rows.shape[1] * self.kind.itemsize}").ravel()
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         keys = [chunk_keys(t) if t else [] for t in texts]
@@ -205,35 +270,32 @@ class Encoder:
 
     def _edges(self, points: np.ndarray, begins: np.ndarray, lengths: np.ndarray):
         """(start, end, piece) of every occurrence of a piece, by suffix array."""
-        alphabet, codes = np.unique(points, return_inverse=True)
-        kind = np.dtype(">u2") if len(alphabet) < 0xFFFF else np.dtype(">u4")
-        width, depth = kind.itemsize, self.v.longest
+        at = np.minimum(np.searchsorted(self.alphabet, points), max(len(self.alphabet) - 1, 0))
+        known = self.alphabet[at] == points if len(self.alphabet) else np.zeros(len(points), dtype=bool)
+        codes = np.where(known, at + 1, len(self.alphabet) + 1)
+        depth = self.v.longest
         # Chunks are parted by a code below all others, which no piece holds.
         shift = np.repeat(np.arange(len(lengths)), lengths)
-        padded = np.zeros(len(points) + len(lengths) + depth, dtype=kind)
+        padded = np.zeros(len(points) + len(lengths) + depth, dtype=self.kind)
         where = np.arange(len(points)) + shift
-        padded[where] = codes + 1
-        windows = np.lib.stride_tricks.sliding_window_view(padded, depth)[where]
-        suffixes = np.ascontiguousarray(windows).view(f"S{depth * width}").ravel()
+        padded[where] = codes
+        suffixes = self._as_key(np.lib.stride_tricks.sliding_window_view(padded, depth)[where])
         order = np.argsort(suffixes, kind="stable")
         sorted_suffixes = suffixes[order]
-        # Pieces over the same codes; one with a character that is not here cannot occur.
-        at = np.minimum(np.searchsorted(alphabet, self.key_points), len(alphabet) - 1)
-        here = (alphabet[at] == self.key_points) | (self.key_points == 0)
-        use = np.flatnonzero(here.all(axis=1))
-        inside = np.arange(depth) < self.key_lengths[use, None]
-        low = np.where(inside, at[use] + 1, 0).astype(kind)
-        top = np.where(inside, at[use] + 1, (1 << (8 * width)) - 1).astype(kind)
-        as_key = lambda m: np.ascontiguousarray(m).view(f"S{depth * width}").ravel()
-        first = np.searchsorted(sorted_suffixes, as_key(low), side="left")
-        count = np.searchsorted(sorted_suffixes, as_key(top), side="right") - first
+        # A piece with a character that is not here cannot occur.
+        here = np.zeros(len(self.alphabet) + 2, dtype=bool)
+        here[codes] = True
+        here[0] = True
+        use = np.flatnonzero(here[self.key_codes].all(axis=1))
+        first = np.searchsorted(sorted_suffixes, self.key_low[use], side="left")
+        count = np.searchsorted(sorted_suffixes, self.key_top[use], side="right") - first
         total = int(count.sum())
         piece = np.repeat(np.arange(len(use)), count)
         step = np.arange(total) - np.repeat(np.cumsum(count) - count, count)
         starts = order[np.repeat(first, count) + step]
         ids, size = self.key_ids[use][piece], self.key_lengths[use][piece]
         # A character that is no piece is an edge of its own.
-        strange = [c for c in alphabet.tolist() if not self._is_piece(c)]
+        strange = [c for c in np.unique(points).tolist() if not self._is_piece(c)]
         if strange:
             places = np.flatnonzero(np.isin(points, np.array(strange, dtype=np.uint32)))
             own = np.array([self._unknown(c) for c in points[places].tolist()], dtype=np.int64)
@@ -284,7 +346,7 @@ class Encoder:
             answer = holds.get(pair)
             if answer is None:
                 a, b = self.names[pair >> 32], self.names[pair & 0xFFFFFFFF]
-                answer = holds[pair] = self.v.merged(a + b) == [a, b]
+                answer = holds[pair] = self.v.together(a, b)
             answers[k] = answer
         out[some] = answers[place]
         return out
@@ -300,10 +362,50 @@ class Decoder:
             if p not in vocabulary.scores and i not in vocabulary.byte_of:
                 self.raw[i] = b""  # control pieces have no text
 
+        self.sizes = np.array([len(r) for r in self.raw], dtype=np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
+        self.table = np.frombuffer(b"".join(self.raw) + b" ", dtype=np.uint8)
+
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
+    def decode_all(self, values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """The texts of many rows: their bytes are taken from one table at once."""
+        parts = []
+        for low, high in runs(offsets, RUN_PIECES):
+            ids, cuts = values[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
+            sizes = self.sizes[ids]
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            taken = np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])
+            data = self.table[taken]
+            begins, stops = ends[cuts[:-1]], ends[cuts[1:]]
+            # The mark before a text's first word is no part of it.
+            some = stops > begins
+            lead = np.zeros(len(begins), dtype=bool)
+            lead[some] = data[begins[some]] == 32
+            keep = np.ones(len(data), dtype=bool)
+            keep[begins[lead]] = False
+            places = np.concatenate([[0], np.cumsum(stops - begins - lead)]).astype(np.int64)
+            buffers = [None, pa.py_buffer(places.tobytes()), pa.py_buffer(data[keep].tobytes())]
+            texts = pa.Array.from_buffers(pa.large_string(), len(begins), buffers)
+            try:
+                texts.validate(full=True)
+            except pa.ArrowInvalid:  # bytes that are no UTF-8
+                texts = pa.array([self.decode(ids[a:b].tolist()) for a, b in zip(cuts[:-1], cuts[1:])], pa.large_string())
+            parts.append(texts)
+        return pa.chunked_array(parts, pa.large_string()).cast(pa.string()).combine_chunks() if parts else pa.array([], pa.string())
+
+
+def runs(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Neighbouring rows with about `most` values, one row at least."""
+    low, n = 0, len(offsets) - 1
+    while low < n:
+        high = int(np.searchsorted(offsets, offsets[low] + most, side="right")) - 1
+        high = min(max(high, low + 1), n)
+        yield low, high
+        low = high
+
 
 _IDS = T.StructField("pieces", T.ArrayType(T.IntegerType()))
 _TEXT = T.StructField("text", T.StringType())
@@ -335,8 +437,7 @@ def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         for batch in batches:
             column = batch.column("pieces")
             values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-            texts = [decoder.decode(values[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:])]
-            columns = [*batch.columns, pa.array(texts, pa.string())]
+            columns = [*batch.columns, decoder.decode_all(values, offsets.astype(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "text"])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, _TEXT]))
