@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemart.llm import licenses, secret_ledger
 from tidemart.llm.components import components
 from tidemart.llm.decontaminate import clean_documents, find_items, hit_words
-from tidemart.llm.neardup import _Search, bucket_forest, drop_near_duplicates, near_duplicates
+from tidemart.llm.neardup import _Search, bucket_forest, drop_near_duplicates, estimate, near_duplicates, near_members, registers
 from tidemart.llm.words import ALNUM, LOWER, NOT_SPACE, shingle_hashes, word_hashes
 from tidemart.session import work_dir
 
@@ -275,3 +275,30 @@ def test_digest_of_no_spans(spark):
     found = secret_ledger.scan(table(spark, ["x"]), work_dir(spark, "ledger"))
     row = found.select(F.sha2(secret_ledger.span_text(F.col("spans")), 256).alias("s")).first()
     assert row["s"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_members_near_by_their_registers():
+    """The rule for a whole group is the rule for its pairs, and loses no near pair."""
+    rng = np.random.default_rng(4)
+    sets = []
+    for n in (1, 2, 9, 60, 400):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+        for kept in (1.0, 0.93, 0.85, 0.6, 0.2):
+            own = base[: max(1, int(kept * n))]
+            more = rng.integers(0, 1 << 63, n - len(own), dtype=np.uint64) * np.uint64(2)
+            sets.append(np.unique(np.concatenate([own, more])))
+    sizes = np.array([len(s) for s in sets])
+    sketches = np.stack([registers(s) for s in sets])
+    labels = np.arange(len(sets)) // 2
+    expected = np.zeros(len(sets), dtype=bool)
+    for i in range(len(sets)):
+        for j in range(len(sets)):
+            if labels[i] == labels[j] or 100 * min(sizes[i], sizes[j]) < 80 * max(sizes[i], sizes[j]):
+                continue
+            likely, error = estimate(sketches[i], sketches[j], sizes[i], sizes[j])
+            expected[i] |= likely >= 0.8 - 6 * error
+            shared = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * shared >= 80 * (sizes[i] + sizes[j] - shared):
+                assert near_members(labels, sizes, sketches, 80)[i]
+    assert near_members(labels, sizes, sketches, 80).tolist() == expected.tolist()
+    assert near_members(np.zeros(len(sets)), sizes, sketches, 80).sum() == 0

@@ -13,7 +13,9 @@ of 2.5e-7.
 Equal sets are one class and are compared once. Candidates are not all pairs of a bucket:
 each member first meets one representative, links are turned into components, and only
 members of different components meet again: first one representative of the bucket's
-least component, in the end each other, inside the task that holds the bucket. So a large
+least component, in the end each other, inside the task that holds the bucket: their
+registers are compared first, and only members that may be near one of another component
+are compared on their full sets. So a large
 group of near copies costs a few pairs per member, and no link between two components is
 lost.
 
@@ -224,6 +226,29 @@ def _digested_sets(shingle: int, word_bytes: np.ndarray):
     return run
 
 
+def near_members(
+    labels: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, threshold: int
+) -> np.ndarray:
+    """The members that by their registers may be near one of another label: the same rule as
+    for pairs, `estimate` and ERRORS standard errors, for all pairs of a group at once."""
+    most = np.maximum(sizes[:, None], sizes[None, :])
+    least = np.minimum(sizes[:, None], sizes[None, :])
+    place = np.clip(np.rint(np.log2(most / REGISTERS)) + 10, 0, len(_CHANCE) - 1).astype(np.int64)
+    chance = _CHANCE[place]
+    independent = np.maximum(REGISTERS * -np.expm1(-least / REGISTERS), 1.0)
+    near = np.zeros(len(labels), dtype=bool)
+    for i in range(len(labels) - 1):
+        j = slice(i + 1, None)
+        agree = np.count_nonzero(sketches[j] == sketches[i], axis=1) / REGISTERS
+        likely = (agree - chance[i, j]) / (1 - chance[i, j])
+        hit = likely >= threshold / 100 - ERRORS * np.sqrt(0.16 / independent[i, j])
+        hit &= (labels[j] != labels[i]) & (100 * least[i, j] >= threshold * most[i, j])
+        if hit.any():
+            near[i] = True
+            near[j] |= hit
+    return near
+
+
 def bucket_forest(
     nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], threshold: int
 ) -> list[tuple[int, int]]:
@@ -276,15 +301,21 @@ def _bucket_links(threshold: int):
     def links(group: list[tuple]) -> list[tuple[int, int]]:
         if len(group) < 2:
             return []
-        nodes = np.array([g[0] for g in group])
         labels = np.array([g[1] for g in group])
-        return bucket_forest(nodes, labels, [np.frombuffer(g[2], dtype=U64) for g in group], threshold)
+        sizes = np.array([len(g[3]) // 8 for g in group])
+        sketches = np.frombuffer(b"".join(g[2] for g in group), dtype=np.uint16).reshape(len(group), REGISTERS)
+        near = np.flatnonzero(near_members(labels, sizes, sketches, threshold))
+        if not len(near):
+            return []
+        nodes = np.array([group[i][0] for i in near])
+        sets = [np.frombuffer(group[i][3], dtype=U64) for i in near]
+        return bucket_forest(nodes, labels[near], sets, threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, last = [], None
         for batch in batches:
             found = []
-            columns = [batch.column(c).to_pylist() for c in ("key", "part", "node", "label", "shingles")]
+            columns = [batch.column(c).to_pylist() for c in ("key", "part", "node", "label", "sketch", "shingles")]
             for key, part, *row in zip(*columns):
                 if (key, part) != last:
                     found += links(group)
@@ -419,12 +450,12 @@ class _Search:
         of blocks. Each group is compared where it lies and only its links leave the task.
         """
         ends = left.select("node").distinct()
-        nodes = _wanted(self.classes.select("node", "key", "digest"), "node", ends)
+        nodes = _wanted(self.classes.select("node", "key", "digest", "sketch"), "node", ends)
         keyed = self.docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("key"), "text")
         sets = _wanted(keyed, "key", nodes.select("key").distinct()).mapInArrow(
             _digested_sets(self.shingle, self.word_bytes), "digest binary, shingles binary"
         )
-        sets = nodes.select("node", "digest").join(sets, "digest").select("node", "shingles").dropDuplicates(["node"])
+        sets = nodes.join(sets, "digest").select("node", "sketch", "shingles").dropDuplicates(["node"])
         blocks = F.ceil(F.col("n_rows") / F.lit(BLOCK)).cast("int")
         own = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
         # A block meets every other one, and itself where it is alone.
@@ -442,7 +473,7 @@ class _Search:
             .join(sets, "node")
         )
         return (
-            rows.select("key", "part", "node", "label", "shingles")
+            rows.select("key", "part", "node", "label", "sketch", "shingles")
             .repartition("key", "part")
             .sortWithinPartitions("key", "part", "node")
             .mapInArrow(_bucket_links(self.threshold), "a bigint, b bigint")
