@@ -277,3 +277,49 @@ def test_decoding_of_many_rows_equals_one_by_one():
         assert decoder.decode_all(values, offsets).to_pylist() == [decoder.decode(r) for r in rows]
         pieces.RUN_PIECES = before
     assert decoder.decode_all(values[:0], np.array([0])).to_pylist() == []
+
+
+def test_revisits_under_repeated_and_missing_ids(spark):
+    at = moment
+    tag = lambda t: {"ETag": t}
+    rows = [
+        (1, "response", "http://a.org/", at(0), tag('"a"'), "body a"),
+        (1, "response", "http://b.org/", at(0), tag('"b"'), "body b"),
+        (None, "response", "http://c.org/", at(0), tag('"c"'), "body c"),
+        (5, "revisit", "http://a.org/", at(9), tag('"a"'), None),
+        (5, "revisit", "http://b.org/", at(9), tag('"b"'), None),
+        (5, "revisit", "http://b.org/", at(9), tag('"b"'), None),
+        (None, "revisit", "http://a.org/", at(9), tag('"a"'), None),
+        (None, "revisit", "http://c.org/", at(9), tag('"c"'), None),
+        (None, "revisit", None, at(9), tag('"c"'), None),
+        (None, "revisit", "http://c.org/", None, None, None),
+    ]
+    shape = "record_id bigint, kind string, url string, at timestamp, headers map<string,string>, payload string, status string, uid int"
+    docs = spark.createDataFrame([(*r, "mine", 7) for r in rows], shape)
+    told = warc.resolve_revisits(docs, slices=2)
+    assert told.columns.count("status") == 1
+    found = sorted(
+        ((r["record_id"], r["canonical_url"], r["status"], r["response_id"], r["payload"], r["uid"]) for r in told.collect() if r["kind"] == "revisit"),
+        key=str,
+    )
+    expected = [
+        (5, "a.org", "resolved", 1, "body a", 7),
+        (5, "b.org", "resolved", 1, "body b", 7),
+        (5, "b.org", "resolved", 1, "body b", 7),
+        (None, "a.org", "resolved", 1, "body a", 7),
+        (None, "c.org", "resolved", None, "body c", 7),
+        (None, None, "no_earlier", None, None, 7),
+        (None, "c.org", "no_earlier", None, None, 7),
+    ]
+    assert found == sorted(expected, key=str) and told.count() == len(rows)
+
+
+def test_repeated_and_very_many_headers_are_read(spark):
+    folder = work_dir(spark, "warc")
+    many = "".join(f"X-{i}: {i}\r\n" for i in range(12_000))
+    http = f"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nset-cookie: c\r\nSet-Cookie: b=2\r\n{many}\r\nbody"
+    head = f"WARC-Type: response\r\nWARC-Record-ID: <urn:record:1>\r\nWARC-Target-URI: http://a/\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nContent-Length: {len(http)}"
+    spark.createDataFrame([(f"{warc.VERSION}\r\n{head}\r\n\r\n{http}\r\n\r\n",)], "value string").write.text(folder)
+    row = warc.read_warc(spark, folder).first()
+    assert row["headers"]["Set-Cookie"] == "a=1, b=2" and row["headers"]["set-cookie"] == "c"
+    assert len(row["headers"]) == 12_002 and row["headers"]["X-11999"] == "11999" and row["payload"] == "body"

@@ -11,10 +11,13 @@ records of a slice the last response of the earlier slices is carried over, from
 per URL and slice. A URL with very many captures is spread over all slices.
 
 Results for odd input: records without URL or time are kept and never resolved
-(`no_earlier`); of responses at the same time the greatest record id is the later one, and
-a response at the very time of a revisit is not earlier; a revisit without validators is
-`no_validator`, one that disagrees `changed`; repeated records are resolved alike; an
-empty table gives an empty result. Further columns pass through, whatever their names.
+(`no_earlier`); of responses at the same time the greatest record id is the later one (of
+several under one id, the one with the greatest hash), and a response at the very time of a
+revisit is not earlier; a revisit without validators is `no_validator`, one that disagrees
+`changed`. Record ids may be missing or repeated: records are told apart by all they hold,
+and those alike in everything are resolved alike. An empty table gives an empty result.
+Further columns pass through, but for those with the name of a result column, which are
+replaced.
 """
 
 from __future__ import annotations
@@ -60,7 +63,7 @@ def _slice(at: Column, splits: list) -> Column:
 
 
 def latest_earlier(records: DataFrame, slices: int = 64) -> DataFrame:
-    """`records` (uid, url, at, record_id, full, facts) with `found`: the facts of the latest
+    """`records` (uid, url, at, record_id, full, facts with uid) with `found`: the facts of the latest
     response of the same URL that is earlier, null if there is none."""
     shares = [k / slices for k in range(1, slices)]
     time = F.unix_micros("at")
@@ -68,9 +71,9 @@ def latest_earlier(records: DataFrame, slices: int = 64) -> DataFrame:
     cut = records.withColumn("slice", _slice(time, sorted(set(splits))))
     response = F.when(F.col("full"), F.struct("at", "record_id", "facts"))
     # Revisits stand before responses of the same time.
-    inside = Window.partitionBy("url", "slice").orderBy("at", "full", "record_id")
+    inside = Window.partitionBy("url", "slice").orderBy("at", "full", "record_id", "uid")
     near = cut.withColumn("_near", F.last(response, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, -1)))
-    last = cut.where("full").groupBy("url", "slice").agg(F.max_by(F.struct("at", "record_id", "facts"), F.struct("at", "record_id")).alias("_last"))
+    last = cut.where("full").groupBy("url", "slice").agg(F.max_by(F.struct("at", "record_id", "facts"), F.struct("at", "record_id", "uid")).alias("_last"))
     # One row per URL and slice, those without a response included.
     grid = cut.select("url", "slice").distinct().join(last, ["url", "slice"], "left")
     along = Window.partitionBy("url").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -106,8 +109,15 @@ def resolve_revisits(records: DataFrame, slices: int = 64) -> DataFrame:
     )
     known = F.col("url").isNotNull() & F.col("at").isNotNull()
     full = F.coalesce(F.col("kind") == "response", F.lit(False))
+    # Names a record by all it holds, since ids may be missing or repeated: missing values
+    # are told from empty ones, and headers stand in the order of their names.
+    text = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("-"))
+    held = F.to_json(F.array_sort(F.map_entries("headers")))
+    parts = [F.col("record_id").cast("string"), F.col("kind"), F.col("_url"), F.unix_micros("at").cast("string"), held]
+    body = F.md5(F.col("payload"))
+    rows = rows.withColumn("uid", F.unhex(F.md5(F.concat_ws("\n", *[text(p) for p in (*parts, body)]))))
     slim = rows.where(known).select(
-        "record_id", "url", "at", full.alias("full"), "kind", F.struct("record_id", "headers").alias("facts")
+        "uid", "record_id", "url", "at", full.alias("full"), F.struct("uid", "record_id", "headers").alias("facts")
     )
     found = latest_earlier(slim, slices).where(~F.col("full"))
     own, theirs = F.col("facts.headers"), F.col("found.headers")
@@ -122,16 +132,16 @@ def resolve_revisits(records: DataFrame, slices: int = 64) -> DataFrame:
     allowed = F.map_filter(own, lambda k, _: k.isin(*PERMITTED))
     kept = F.map_filter(theirs, lambda k, _: ~F.map_contains_key(allowed, k))
     answers = (
-        found.select("record_id", "kind", status.alias("status"), "found", F.map_concat(kept, allowed).alias("_merged"))
+        found.select("uid", status.alias("status"), "found", F.map_concat(kept, allowed).alias("_merged"))
         .select(
-            "record_id",
-            "kind",
+            "uid",
             "status",
+            F.when(F.col("status") == "resolved", F.col("found.uid")).alias("_body_of"),
             F.when(F.col("status") == "resolved", F.col("found.record_id")).alias("response_id"),
             F.when(F.col("status") == "resolved", F.col("_merged")).alias("_merged"),
         )
         # Repeated records have one answer.
-        .dropDuplicates(["record_id", "kind"])
+        .dropDuplicates(["uid"])
     )
     def told(df: DataFrame, status: Column, response: Column, merged: Column, payload: Column) -> DataFrame:
         return df.select(
@@ -153,19 +163,15 @@ def resolve_revisits(records: DataFrame, slices: int = 64) -> DataFrame:
     # A record without a response has a key of its own, so that such records do not meet in
     # one task. Records are the left side of both joins: a response that very many revisits
     # stand for is split by AQE.
-    own_key = F.xxhash64("record_id", "_url", "at")
-    asked = rows.where(~full).join(answers, ["record_id", "kind"], "left").withColumn(
-        "_key", F.when(F.col("response_id").isNotNull(), F.xxhash64("response_id")).otherwise(own_key)
-    )
+    asked = rows.where(~full).join(answers, "uid", "left").withColumn("_key", F.coalesce("_body_of", "uid"))
     bodies = (
         rows.where(full)
-        .select(F.col("record_id").alias("response_id"), F.col("payload").alias("_body"))
-        .withColumn("_key", F.xxhash64("response_id"))
-        .dropDuplicates(["_key", "response_id"])
+        .select(F.col("uid").alias("_key"), F.col("payload").alias("_body"))
+        .dropDuplicates(["_key"])
     )
-    resolved = F.col("response_id").isNotNull()
+    resolved = F.col("_body_of").isNotNull()
     others = told(
-        asked.join(bodies, ["_key", "response_id"], "left"),
+        asked.join(bodies, "_key", "left"),
         F.coalesce("status", F.lit("no_earlier")),
         F.col("response_id"),
         F.coalesce("_merged", "headers"),
@@ -190,7 +196,7 @@ def record_text(record_id: Column, kind: Column, url: Column, at: Column, header
         ("WARC-Type", kind),
         ("WARC-Record-ID", F.concat(F.lit("<urn:record:"), record_id.cast("string"), F.lit(">"))),
         ("WARC-Target-URI", url),
-        ("WARC-Date", F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        ("WARC-Date", F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         ("Content-Type", F.lit("application/http")),
         ("Content-Length", F.octet_length(http).cast("string")),
     ]
@@ -204,10 +210,19 @@ def write_warc(records: DataFrame, path: str) -> None:
     records.select(F.concat(F.lit(VERSION + LINE), text)).write.option("lineSep", "\n").text(path)
 
 
+def combined(entries: Column) -> Column:
+    """Entries (key, value) as a map; the values of a repeated name stand in order, joined by a
+    comma."""
+    names = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+    values = lambda n: F.transform(F.filter(entries, lambda e: e["key"] == n), lambda e: e["value"])
+    return F.map_from_arrays(names, F.transform(names, lambda n: F.array_join(values(n), ", ")))
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """(record_id, kind, url, at, headers, payload) of the response and revisit records of
     uncompressed WARC files. Spark splits a file at the version lines, so one file is read
-    by many tasks. Text that is no UTF-8 is replaced."""
+    by many tasks. Text that is no UTF-8 is replaced. A body that itself holds the version
+    line is cut there, and files of other versions are not told apart."""
     raw = spark.read.option("lineSep", VERSION + LINE).text(path).where(F.length("value") > 0)
     value = F.col("value")
     field = lambda name: F.regexp_extract(F.col("_head"), rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1)
@@ -215,7 +230,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         F.split(value, "\r\n\r\n", 2)[0].alias("_head"), F.split(value, "\r\n\r\n", 2)[1].alias("_block")
     )
     split = parts.select("_head", F.split("_block", "\r\n\r\n", 2).alias("_p"))
-    lines = F.filter(F.slice(F.split(F.col("_p")[0], LINE), 2, 10_000), lambda x: F.instr(x, ":") > 0)
+    http = F.split(F.col("_p")[0], LINE)
+    lines = F.filter(F.slice(http, 2, F.size(http)), lambda x: F.instr(x, ":") > 0)
     entries = F.transform(
         "_lines",
         lambda x: F.struct(
@@ -230,7 +246,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             field("WARC-Type").alias("kind"),
             field("WARC-Target-URI").alias("url"),
             F.to_timestamp(field("WARC-Date")).alias("at"),
-            F.map_from_entries(entries).alias("headers"),
+            combined(entries).alias("headers"),
             F.regexp_replace(F.coalesce(F.col("_p")[1], F.lit("")), r"\r\n\r\n\n?$", "").alias("payload"),
         )
         .where(F.col("kind").isin("response", "revisit"))
@@ -244,9 +260,10 @@ def captures(pages: DataFrame) -> DataFrame:
     page = F.col("page_id")
     turn = lambda n: F.timestamp_seconds(F.lit(1_700_000_000) + n)
     tag = F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit(""))), F.lit('"'))
-    stamp = lambda t: F.date_format(t, "yyyy-MM-dd HH:mm:ss")
+    # In UTC whatever the zone of the session.
+    stamp = lambda t: F.date_format(F.to_utc_timestamp(t, F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
     first, later = turn(page * 60), turn(page * 60 + 30 + 3600 * (1 + page % 7))
-    changed = F.date_format(turn(page * 60 - 86400), "yyyy-MM-dd HH:mm:ss")
+    changed = stamp(turn(page * 60 - 86400))
     text_map = lambda *pairs: F.create_map(*[x for k, v in pairs for x in (F.lit(k), v)])
     response = text_map(
         ("ETag", tag), ("Last-Modified", changed), ("Date", stamp(first)), ("Content-Type", F.lit("text/html")),
