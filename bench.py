@@ -37,6 +37,20 @@ EAGER = (
     "order_wide_buffered",
     "pair_dedupe_stream",
     "resume_from_checkpoint",
+    "order_wide_outer_stream",
+    "detail_amount_stream",
+    "pair_dedupe_renewed",
+    "stored_offsets",
+    "topic_rejects",
+    "late_rows",
+    "dimension_job",
+    "dau_total_day",
+    "order_total_day",
+    "order_hour_day",
+    "sale_detail_day",
+    "dau_rollup",
+    "order_rollup",
+    "search_deep_page",
 )
 
 
