@@ -63,7 +63,7 @@ def test_compacting_keeps_the_rows_in_fewer_folders(spark, folder):
 
 def test_day_reads_prune_partitions(spark, folder):
     path = folder("days")
-    sinks.store_order_wide(day_rows(spark, *[(f"2024-01-0{d}", d, d) for d in range(1, 6)]), path)
+    sinks.append_batch(day_rows(spark, *[(f"2024-01-0{d}", d, d) for d in range(1, 6)]), 0, path)
     two = read_day(spark, path, "2024-01-03", prev_days=1)
     assert sorted(r.id for r in two.collect()) == [2, 3]
     plan = two._jdf.queryExecution().executedPlan().toString()
