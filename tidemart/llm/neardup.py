@@ -14,10 +14,13 @@ Equal sets are one class and are compared once. Candidates are not all pairs of
 each member first meets one representative, links are turned into components, and only
 members of different components meet again: first one representative of the bucket's
 least component, in the end each other, inside the task that holds the bucket: their
-registers are compared first, and only members that may be near one of another component
-are compared on their full sets. So a large
-group of near copies costs a few pairs per member, and no link between two components is
-lost.
+registers are compared first, each pair in the first band it agrees in, and only members
+that may be near one of another component are sent their full sets. So a large group of
+near copies costs a few pairs per member, and no link between two components is lost.
+
+The full sets of all classes that share a band with another are built once and kept by
+class in a written table; every later step joins them from there. Nothing is broadcast by
+a size of its own choosing, so there is one plan at every size.
 
 Results for odd input: a text without words, or null, has the empty set, is linked with
 nothing and is kept; repeated rows are copies of each other; a row without id belongs to
@@ -44,11 +47,9 @@ BANDS, ROWS = 50, 6
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
 ERRORS = 6.0
-# Keys that may be sent to every executor: some 20 MB there.
-BROADCAST_KEYS = 400_000
 PROBES = 64
 # Members of a bucket that are compared at once, and cells of the matrix that does it.
-BLOCK = 1024
+BLOCK = 512
 MATRIX_CELLS = 4_000_000
 
 _CELL = (1 << 64) // REGISTERS
@@ -166,34 +167,24 @@ def _near_enough(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            columns = [batch.column(c) for c in ("a_n", "b_n", "a_sketch", "b_sketch")]
-            for n_a, n_b, a, b in zip(*[c.to_pylist() for c in columns]):
+            columns = [batch.column(c).to_pylist() for c in ("a_n", "b_n", "a_sketch", "b_sketch")]
+            for n_a, n_b, a, b in zip(*columns):
                 near, error = estimate(np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16), n_a, n_b)
                 keep.append(
                     100 * min(n_a, n_b) >= threshold * max(n_a, n_b)
                     and near >= threshold / 100 - ERRORS * error
                 )
-            yield batch.filter(pa.array(keep, pa.bool_())).select(_PAIR)
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     return run
 
 
-def _confirmed(shingle: int, threshold: int, word_bytes: np.ndarray):
+def _confirmed(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, last, set_a = [], None, None
-            a_digests, b_digests = batch.column("a_digest").to_pylist(), batch.column("b_digest").to_pylist()
-            texts = zip(text_bytes(batch.column("a_text")), text_bytes(batch.column("b_text")))
-            a_nodes = batch.column("a").to_pylist()
-            for i, (text_a, text_b) in enumerate(texts):
-                if a_nodes[i] != last or set_a is None:
-                    set_a, last = shingle_set(text_a, shingle, word_bytes), a_nodes[i]
-                    if blake2b(set_a.tobytes(), digest_size=16).digest() != a_digests[i]:
-                        set_a = None  # another text under a repeated id
-                set_b = shingle_set(text_b, shingle, word_bytes)
-                if set_a is None or blake2b(set_b.tobytes(), digest_size=16).digest() != b_digests[i]:
-                    keep.append(False)
-                    continue
+            keep = []
+            for a, b in zip(batch.column("a_set"), batch.column("b_set")):
+                set_a, set_b = (np.frombuffer(x.as_buffer(), dtype=U64) for x in (a, b))
                 shared = len(np.intersect1d(set_a, set_b, assume_unique=True))
                 keep.append(100 * shared >= threshold * (len(set_a) + len(set_b) - shared))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
@@ -201,19 +192,6 @@ def _confirmed(shingle: int, threshold: int, word_bytes: np.ndarray):
     return run
 
 
-def _wanted(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """The rows of `df` whose key is in `wanted` (one unique column).
-
-    Up to BROADCAST_KEYS keys (8 bytes each, counted here) go to every executor, so the
-    other rows are dropped where they are read; beyond that it is an ordinary join, for
-    which Spark builds its own run-time filter if `df` is large.
-    """
-    keys = wanted.select(F.col(wanted.columns[0]).alias(key))
-    if keys.count() <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
-    return df.join(keys, key, "left_semi")
-
-
 def _digested_sets(shingle: int, word_bytes: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,10 +205,11 @@ def _digested_sets(shingle: int, word_bytes: np.ndarray):
 
 
 def near_members(
-    labels: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, threshold: int
+    labels: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, threshold: int, band: int | None = None
 ) -> np.ndarray:
     """The members that by their registers may be near one of another label: the same rule as
-    for pairs, `estimate` and ERRORS standard errors, for all pairs of a group at once."""
+    for pairs, `estimate` and ERRORS standard errors, for all pairs of a group at once. With
+    a band, only pairs whose first band in common it is."""
     most = np.maximum(sizes[:, None], sizes[None, :])
     least = np.minimum(sizes[:, None], sizes[None, :])
     place = np.clip(np.rint(np.log2(most / REGISTERS)) + 10, 0, len(_CHANCE) - 1).astype(np.int64)
@@ -239,10 +218,14 @@ def near_members(
     near = np.zeros(len(labels), dtype=bool)
     for i in range(len(labels) - 1):
         j = slice(i + 1, None)
-        agree = np.count_nonzero(sketches[j] == sketches[i], axis=1) / REGISTERS
+        equal = sketches[j] == sketches[i]
+        agree = np.count_nonzero(equal, axis=1) / REGISTERS
         likely = (agree - chance[i, j]) / (1 - chance[i, j])
         hit = likely >= threshold / 100 - ERRORS * np.sqrt(0.16 / independent[i, j])
         hit &= (labels[j] != labels[i]) & (100 * least[i, j] >= threshold * most[i, j])
+        if band is not None and hit.any():
+            which = np.flatnonzero(hit)
+            hit[which] = equal[which].reshape(-1, ROWS, BANDS).all(axis=1).argmax(axis=1) == band
         if hit.any():
             near[i] = True
             near[j] |= hit
@@ -297,32 +280,43 @@ def bucket_forest(
     return out
 
 
-def _bucket_links(threshold: int):
-    def links(group: list[tuple]) -> list[tuple[int, int]]:
-        if len(group) < 2:
-            return []
-        labels = np.array([g[1] for g in group])
-        sizes = np.array([len(g[3]) // 8 for g in group])
-        sketches = np.frombuffer(b"".join(g[2] for g in group), dtype=np.uint16).reshape(len(group), REGISTERS)
-        near = np.flatnonzero(near_members(labels, sizes, sketches, threshold))
-        if not len(near):
-            return []
-        nodes = np.array([group[i][0] for i in near])
-        sets = [np.frombuffer(group[i][3], dtype=U64) for i in near]
-        return bucket_forest(nodes, labels[near], sets, threshold)
+def _groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows sorted by key and part, as ((key, part), rows of the columns)."""
+    group, last = [], None
+    for batch in batches:
+        values = [batch.column(c).to_pylist() for c in ("key", "part", *columns)]
+        for key, part, *row in zip(*values):
+            if (key, part) != last:
+                if len(group) > 1:
+                    yield last, group
+                group, last = [], (key, part)
+            group.append(tuple(row))
+    if len(group) > 1:
+        yield last, group
+
+
+def _likely(threshold: int):
+    """Of the members of a bucket, those whose registers are near one of another label's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, last = [], None
-        for batch in batches:
-            found = []
-            columns = [batch.column(c).to_pylist() for c in ("key", "part", "node", "label", "sketch", "shingles")]
-            for key, part, *row in zip(*columns):
-                if (key, part) != last:
-                    found += links(group)
-                    group, last = [], (key, part)
-                group.append(tuple(row))
-            yield _pairs(found)
-        yield _pairs(links(group))
+        for (key, part), group in _groups(batches, ("node", "label", "n", "sketch")):
+            nodes, labels, sizes = (np.array([g[k] for g in group], dtype=np.int64) for k in range(3))
+            sketches = np.frombuffer(b"".join(g[3] for g in group), dtype=np.uint16).reshape(-1, REGISTERS)
+            band = np.flatnonzero(band_keys(sketches[0]) == key)
+            near = near_members(labels, sizes, sketches, threshold, int(band[0]) if len(band) else None)
+            if near.any():
+                k = int(near.sum())
+                columns = [np.full(k, key), np.full(k, part), nodes[near], labels[near]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=_MEMBER)
+
+    return run
+
+
+def _bucket_links(threshold: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in _groups(batches, ("node", "label", "shingles")):
+            nodes, labels = (np.array([g[k] for g in group], dtype=np.int64) for k in range(2))
+            yield _pairs(bucket_forest(nodes, labels, [np.frombuffer(g[2], dtype=U64) for g in group], threshold))
 
     return run
 
@@ -334,7 +328,7 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
 
 # The operator --------------------------------------------------------------------------
 
-_PAIR = ["a", "b", "a_key", "b_key", "a_digest", "b_digest"]
+_MEMBER = ["key", "part", "node", "label"]
 _NO_ID = -(1 << 63)
 
 
@@ -344,6 +338,7 @@ class _Search:
     def __init__(self, docs: DataFrame, root: str, shingle: int, threshold: int, word_bytes: np.ndarray) -> None:
         self.root, self.shingle, self.threshold, self.word_bytes = root, shingle, threshold, word_bytes
         self.docs = docs  # (doc_id, text)
+        self.sets: DataFrame | None = None  # of the candidates, once there are any
         self.spark = docs.sparkSession
         self.sketches = written(
             docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
@@ -374,32 +369,43 @@ class _Search:
             )
         return rows.mapInArrow(_bands, "node bigint, label bigint, key bigint")
 
+    def candidates(self, ends: DataFrame) -> DataFrame:
+        """(node, n, sketch, shingles) of the classes named in `ends` (node, repeats allowed).
+
+        A class is built from the texts of its key's documents. The texts are the left side
+        of a shuffled join with the unique keys, at every size: a repeated id is split.
+        """
+        nodes = self.classes.select("node", "key", "digest", "n", "sketch")
+        nodes = nodes.join(ends.select("node").distinct(), "node", "left_semi")
+        nodes = written(nodes, f"{self.root}/candidate-classes")
+        texts = self.docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("key"), "text")
+        keys = nodes.select("key").distinct().hint("shuffle_hash")
+        sets = texts.join(keys, "key", "left_semi").mapInArrow(
+            _digested_sets(self.shingle, self.word_bytes), "digest binary, shingles binary"
+        )
+        known = nodes.select("node", "digest", "n", "sketch")
+        # A class whose key is one document has one row; texts under a repeated id may be copies.
+        return written(
+            sets.join(known, "digest").select("node", "n", "sketch", "shingles").dropDuplicates(["node"]),
+            f"{self.root}/candidates",
+        )
+
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b) of nodes that are near enough on their full sets."""
-        pairs = written(pairs.select("a", "b"), f"{self.root}/pairs-{name}")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        nodes = _wanted(self.classes.select("node", "key", "digest", "n", "sketch"), "node", ends)
-        side = lambda p: nodes.select(
-            F.col("node").alias(p),
-            *[F.col(c).alias(f"{p}_{c}") for c in ("key", "digest", "n", "sketch")],
+        """The pairs (a, b) of candidates that are near enough on their full sets."""
+        side = lambda p, *cols: self.sets.select(
+            F.col("node").alias(p), *[F.col(c).alias(f"{p}_{o}") for c, o in cols]
         )
+        pairs = pairs.select("a", "b")
+        sketch = (("n", "n"), ("sketch", "sketch"))
         near = (
-            pairs.join(side("a"), "a")
-            .join(side("b"), "b")
-            .mapInArrow(
-                _near_enough(self.threshold),
-                "a bigint, b bigint, a_key bigint, b_key bigint, a_digest binary, b_digest binary",
-            )
+            pairs.join(side("a", *sketch), "a")
+            .join(side("b", *sketch), "b")
+            .mapInArrow(_near_enough(self.threshold), "a bigint, b bigint")
         )
         near = written(near, f"{self.root}/near-{name}")
-        keys = near.select(F.explode(F.array("a_key", "b_key")).alias("key")).distinct()
-        keyed = self.docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("key"), "text")
-        texts = _wanted(keyed, "key", keys).repartition("key").dropDuplicates(["key", "text"])
-        text = lambda p: texts.select(F.col("key").alias(f"{p}_key"), F.col("text").alias(f"{p}_text"))
-        both = near.join(text("a"), "a_key").join(text("b"), "b_key")
-        sure = both.select("a", "b", "a_digest", "b_digest", "a_text", "b_text").mapInArrow(
-            _confirmed(self.shingle, self.threshold, self.word_bytes), "a bigint, b bigint"
-        )
+        full = (("shingles", "set"),)
+        both = near.join(side("a", *full), "a").join(side("b", *full), "b")
+        sure = both.select("a", "b", "a_set", "b_set").mapInArrow(_confirmed(self.threshold), "a bigint, b bigint")
         return written(sure, f"{self.root}/links-{name}")
 
     def labels(self, links: DataFrame, name: str) -> DataFrame:
@@ -410,7 +416,10 @@ class _Search:
         bands = self.bands()
         least = bands.groupBy("key").agg(F.min("node").alias("rep"), F.max("node").alias("_m")).where("rep < _m")
         first = bands.join(least, "key").where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
-        links = self.links(first.distinct(), "first")
+        first = written(first.distinct(), f"{self.root}/pairs-first")
+        # Every class that shares a band with another is in a pair here.
+        self.sets = self.candidates(first.select(F.explode(F.array("a", "b")).alias("node")))
+        links = self.links(first, "first")
         labels = self.labels(links, "first")
         # Buckets that still hold several components: a representative of the least one.
         mixed = written(self._mixed(self.bands(labels)), f"{self.root}/mixed")
@@ -426,13 +435,14 @@ class _Search:
             .select(F.least("rep", "node").alias("a"), F.greatest("rep", "node").alias("b"))
             .distinct()
         )
-        links = links.unionByName(self.links(second, "second"))
+        links = links.unionByName(self.links(written(second, f"{self.root}/pairs-second"), "second"))
         labels = self.labels(links, "second")
         # What is left: members of different components, compared inside their buckets.
         left = mixed.select("node", "key").join(labels, "node", "left")
         left = self._mixed(left.select("node", "key", F.coalesce("label", "node").alias("label")))
         third = self._inside_buckets(written(left, f"{self.root}/left"))
-        links = links.unionByName(self.links(third.distinct(), "third"))
+        # They were found on full sets.
+        links = links.unionByName(written(third.distinct(), f"{self.root}/links-third"))
         return self.result(self.labels(links, "third"))
 
     @staticmethod
@@ -447,15 +457,10 @@ class _Search:
         """Pairs (a, b) that link all members of a bucket that can be linked, as a forest.
 
         Members meet in blocks of BLOCK rows; a bucket of several blocks is dealt as pairs
-        of blocks. Each group is compared where it lies and only its links leave the task.
+        of blocks. Only registers are dealt so; full sets go to the members that registers
+        leave. Each group is compared where it lies and only its links leave the task.
         """
-        ends = left.select("node").distinct()
-        nodes = _wanted(self.classes.select("node", "key", "digest", "sketch"), "node", ends)
-        keyed = self.docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("key"), "text")
-        sets = _wanted(keyed, "key", nodes.select("key").distinct()).mapInArrow(
-            _digested_sets(self.shingle, self.word_bytes), "digest binary, shingles binary"
-        )
-        sets = nodes.join(sets, "digest").select("node", "sketch", "shingles").dropDuplicates(["node"])
+        candidates = self.candidates(left) if self.sets is None else self.sets
         blocks = F.ceil(F.col("n_rows") / F.lit(BLOCK)).cast("int")
         own = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
         # A block meets every other one, and itself where it is alone.
@@ -463,21 +468,26 @@ class _Search:
             F.sequence(F.lit(0), F.greatest(F.col("_blocks") - 1, F.lit(0))),
             lambda i: F.when(
                 (F.col("_blocks") == 1) | (i != F.col("_own")),
-                F.least(i, F.col("_own")) * F.col("_blocks") + F.greatest(i, F.col("_own")),
+                F.least(i, F.col("_own")).cast("bigint") * F.col("_blocks") + F.greatest(i, F.col("_own")),
             ),
         )
         rows = (
             left.withColumn("_blocks", blocks)
             .withColumn("_own", own)
             .select("key", "node", "label", F.explode(F.array_compact(part)).alias("part"))
-            .join(sets, "node")
+            .join(candidates.select("node", "n", "sketch"), "node")
+        )
+        dealt = lambda df, *cols: (
+            df.select(*_MEMBER, *cols).repartition("key", "part").sortWithinPartitions("key", "part", "node")
         )
-        return (
-            rows.select("key", "part", "node", "label", "sketch", "shingles")
-            .repartition("key", "part")
-            .sortWithinPartitions("key", "part", "node")
-            .mapInArrow(_bucket_links(self.threshold), "a bigint, b bigint")
+        likely = written(
+            dealt(rows, "n", "sketch").mapInArrow(
+                _likely(self.threshold), "key bigint, part bigint, node bigint, label bigint"
+            ),
+            f"{self.root}/likely",
         )
+        sets = likely.join(candidates.select("node", "shingles"), "node")
+        return dealt(sets, "shingles").mapInArrow(_bucket_links(self.threshold), "a bigint, b bigint")
 
     def result(self, labels: DataFrame) -> DataFrame:
         known = self.classes.select("node", "digest", "least_id").join(labels, "node", "left")
