@@ -49,7 +49,7 @@ MANTISSA = 10
 ERRORS = 6.0
 PROBES = 64
 # Members of a bucket that are compared at once, and cells of the matrix that does it.
-BLOCK = 512
+BLOCK = 1024
 MATRIX_CELLS = 4_000_000
 
 _CELL = (1 << 64) // REGISTERS
