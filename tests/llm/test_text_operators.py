@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemart.llm import licenses, secret_ledger
 from tidemart.llm.components import components
 from tidemart.llm.decontaminate import clean_documents, find_items, hit_words
-from tidemart.llm.neardup import _Search, bucket_forest, drop_near_duplicates, estimate, near_duplicates, near_members, registers
+from tidemart.llm.neardup import BANDS, ROWS, _Search, bucket_forest, drop_near_duplicates, estimate, near_duplicates, near_members, registers
 from tidemart.llm.words import ALNUM, LOWER, NOT_SPACE, shingle_hashes, word_hashes
 from tidemart.session import work_dir
 
@@ -302,3 +302,17 @@ def test_members_near_by_their_registers():
                 assert near_members(labels, sizes, sketches, 80)[i]
     assert near_members(labels, sizes, sketches, 80).tolist() == expected.tolist()
     assert near_members(np.zeros(len(sets)), sizes, sketches, 80).sum() == 0
+
+
+def test_a_pair_is_compared_in_its_first_common_band():
+    """Over the bands of a group, each near pair that has a band in common is told exactly once."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 63, 400, dtype=np.uint64) * np.uint64(2)
+    sets = [np.unique(np.concatenate([base[k:], rng.integers(0, 1 << 63, k, dtype=np.uint64)])) for k in (0, 8, 20)]
+    sketches = np.stack([registers(s) for s in sets])
+    sizes = np.array([len(s) for s in sets])
+    for i, j in [(0, 1), (0, 2), (1, 2)]:
+        pair = [i, j]
+        common = np.flatnonzero((sketches[i] == sketches[j]).reshape(ROWS, BANDS).all(axis=0))
+        told = [b for b in range(BANDS) if near_members(np.arange(2), sizes[pair], sketches[pair], 80, b).any()]
+        assert len(common) and told == [common[0]]
