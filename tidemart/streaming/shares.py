@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 from typing import Any
 
 import pandas as pd
@@ -15,93 +16,119 @@ from tidemart.functions.money import cents, from_cents
 from tidemart.functions.text import computed_once
 from tidemart.operators.wide import wide_columns
 from tidemart.schemas import ORDER_WIDE
+from tidemart.streaming.packed import pack, unpack
 
-# Lines of an order that leave together.
+# Lines that are packed, and leave, together.
 CHUNK = 10_000
+# Packed chunks that are held while a slice leaves.
+KEPT = 16
+# Orders whose last lines can come within one such time close together.
+SLICE_MS = 15_000
 
-_STATE = "place bigint, id bigint, weight bigint, row string"
+_STATE = "chunk binary"
+_LINES = ["order_id", "place", "id", "weight", "total", "row"]
 _OUT = "order_id bigint, row string, share bigint"
 
 
 class _Shares(StatefulProcessor):
-    """Gathers the lines of an order and divides its amount when no more can come.
+    """Gathers the lines of the orders of one slice and lane and divides their amounts when
+    no more can come.
 
-    The lines lie in the state store, on disk, and are read through twice when the time
-    comes, a chunk at a time: no more than a chunk of an order is in memory, however many
-    lines it has. What the first pass would find out is kept up to date as lines arrive.
+    The lines lie in the state store, on disk, as packed chunks: a call to the store and a
+    timer serve many orders. When the time comes they are read through three times, a chunk
+    at a time. Only a few numbers per order are in memory, however many lines it has.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._lines = handle.getListState("lines", _STATE)
-        # Amount, sum of the weights, and the last line by (place, id).
-        self._sums = handle.getValueState("sums", "total bigint, weights string, place bigint, id bigint")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        sums = self._sums.get() if self._sums.exists() else None
-        total, weights, last = (sums[0], int(sums[1]), (sums[2], sums[3])) if sums else (None, 0, None)
+        if not self._lines.exists():
+            self._handle.registerTimer(int(key[0]) + 1)
         for chunk in rows:
-            lines = list(zip(*[chunk[c].tolist() for c in ("place", "id", "weight", "row")]))
-            self._lines.appendList(lines)
-            weights += sum(line[2] for line in lines)
-            last = max([line[:2] for line in lines] + ([last] if last else []))
-            if total is None:
-                total = int(chunk["total"].iloc[0])
-                self._handle.registerTimer(int(chunk["closes"].iloc[0]) + 1)
-        # Text, as sums of weights may leave 64 bits.
-        self._sums.update((total, str(weights), *last))
+            packed = [(pack(chunk[_LINES].iloc[i : i + CHUNK]),) for i in range(0, len(chunk), CHUNK)]
+            self._lines.appendList(packed)
         return iter(())
 
     def handleExpiredTimer(
         self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo
     ) -> Iterator[pd.DataFrame]:
-        total, weights, *last = self._sums.get()
-        weights, last = int(weights), tuple(last)
-        rest, kept, out = total, None, []
-        for place, line_id, weight, row in self._lines.get():
-            if (place, line_id) == last:
-                kept = row
-                continue
+        # Few chunks are kept packed, many are read from the store again.
+        kept = list(islice(self._lines.get(), KEPT + 1))
+        chunks = self._lines.get if len(kept) > KEPT else lambda: kept
+        # Sum of the weights, and the last line by (place, id).
+        weights, last = {}, {}
+        for order, place, line, weight in self._read(chunks(), "order_id", "place", "id", "weight"):
+            weights[order] = weights.get(order, 0) + weight
+            last[order] = max(last.get(order, (place, line)), (place, line))
+
+        def floor(order: int, weight: int, total: int) -> int:
             # Python's // rounds towards minus infinity, also for negative amounts.
-            share = total * weight // weights if weights else 0
-            rest -= share
-            out.append((key[0], row, share))
+            return total * weight // weights[order] if weights[order] else 0
+
+        # What the floors leave; the last line takes it on top of its own.
+        rest = {}
+        for order, weight, total in self._read(chunks(), "order_id", "weight", "total"):
+            rest[order] = rest.get(order, total) - floor(order, weight, total)
+        out = []
+        for order, place, line, weight, total, row in self._read(chunks(), *_LINES):
+            share = floor(order, weight, total)
+            if (place, line) == last[order]:
+                share += rest.pop(order, 0)
+            out.append((order, row, share))
             if len(out) == CHUNK:
                 yield pd.DataFrame(out, columns=["order_id", "row", "share"])
                 out = []
-        out.append((key[0], kept, rest))
-        yield pd.DataFrame(out, columns=["order_id", "row", "share"])
+        if out:
+            yield pd.DataFrame(out, columns=["order_id", "row", "share"])
         self._lines.clear()
-        self._sums.clear()
+
+    @staticmethod
+    def _read(chunks: Iterator[tuple], *names: str) -> Iterator[tuple]:
+        for (chunk,) in chunks:
+            lines = unpack(chunk)
+            yield from zip(*[lines.column(name).to_pylist() for name in names])
 
     def close(self) -> None:
         pass
 
 
 def split_amount_stream(
-    wide: DataFrame, order_ts: str = "order_ts", detail_ts: str = "detail_ts", wait: str = "15 seconds"
+    wide: DataFrame,
+    order_ts: str = "order_ts",
+    detail_ts: str = "detail_ts",
+    wait: str = "15 seconds",
+    lanes: int = 4,
 ) -> DataFrame:
     """Wide rows of a stream with `final_detail_amount`, the share of each line in its
     order's amount, as `split_amount` gives it with lines in order of (time, id).
 
     `wide` has each (order, line) pair once, `order_ts` with a watermark, and the time of
     the line. A line can come until `wait`, the tolerance of the join before, after its
-    order; when the watermark has passed that, all rows of the order leave together, and
-    they add up to its amount. Spark carries the watermark through the join, so a line
-    that the join lets pass is never too late here.
+    order; when the watermark has passed that, and the end of the slice of time (`SLICE_MS`) it falls in, all
+    rows of the order leave together, and they add up to its amount. Spark carries the
+    watermark through the join, so a line that the join lets pass is never too late here.
+
+    The orders of a slice are dealt over `lanes`; their lines share the state of the lane. A
+    call to the state costs far more than a line, so there are few lanes: slices are apart.
     """
     names = [f.name for f in ORDER_WIDE.fields]
+    closes = F.unix_millis(F.expr(f"{order_ts} + INTERVAL {wait}"))
+    # The end of a slice, not before the order closes.
+    end = closes - F.pmod(closes, F.lit(SLICE_MS)) + SLICE_MS
     narrow = wide.select(
+        end.alias("closes"),
+        F.pmod(F.xxhash64("order_id"), F.lit(lanes)).alias("lane"),
         "order_id",
         order_ts,
-        F.unix_millis(F.expr(f"{order_ts} + INTERVAL {wait}")).alias("closes"),
         F.unix_micros(detail_ts).alias("place"),
-        F.col("order_detail_id").alias("id"),
+        F.coalesce("order_detail_id", F.lit(0)).alias("id"),
         cents(F.coalesce("sku_price", F.lit(0))).cast("bigint").alias("weight"),
         cents(F.coalesce("final_total_amount", F.lit(0))).cast("bigint").alias("total"),
         F.to_json(F.struct(*names)).alias("row"),
     )
-    shares = narrow.groupBy("order_id").transformWithStateInPandas(
+    shares = narrow.groupBy("closes", "lane").transformWithStateInPandas(
         _Shares(), outputStructType=_OUT, outputMode="append", timeMode="eventTime"
     )
     parsed = computed_once(shares, F.from_json("row", ORDER_WIDE), "share")
