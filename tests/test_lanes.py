@@ -2,12 +2,13 @@
 
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tidemart.operators.wide import wide_columns
 from tidemart.session import state_session
-from tidemart.streaming import shares
+from tidemart.streaming import dedupe, shares
 from tidemart.streaming.jobs import start, table_writer
 
 NOON, FAR = "2024-01-01 12:00:00", "2024-01-03 12:00:00"
@@ -47,3 +48,32 @@ def test_orders_of_one_time_share_their_state(spark, stateful, folder):
     found.pop(-1, None)
     assert found == {i: [Decimal(x) for x in a] for i, a in thirds.items()}
     assert updated(query) < 100
+
+
+def test_sets_of_a_lane_share_their_state(spark, stateful, folder):
+    topic, out = folder("t"), folder("o")
+    sent = spark.range(1200).select(
+        (F.col("id") % 300).alias("order_id"), (F.col("id") % 600).alias("id"), F.lit(NOON).cast("timestamp").alias("at")
+    )
+    sent.coalesce(1).write.parquet(topic)
+    stream = stateful.readStream.schema(sent.schema).parquet(topic)
+    unique = dedupe.dedupe_renewed(stream, "order_id", "id", "at", lanes=4)
+    query = start(table_writer(unique, out), folder("cp"), available_now=True)
+    query.awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(600))
+    assert updated(query) < 100
+
+
+def test_sets_are_renewed_and_start_anew():
+    def seen(*rows):
+        marks = pd.DataFrame(rows, columns=["set_key", "member_key", "seen_ms"])
+        return marks.assign(until_ms=marks["seen_ms"] + 600)
+
+    empty = pd.DataFrame({"set_key": [], "member_key": [], "until_ms": []})
+    passed, sets = dedupe.renew(seen(("a", "1", 0), ("b", "1", 0), ("a", "1", 600), ("b", "1", 601), ("a", "2", 1200)), empty)
+    assert passed.tolist() == [True, True, False, True, True]
+    assert sorted(sets.itertuples(index=False, name=None)) == [("a", "1", 1800), ("a", "2", 1800), ("b", "1", 1201)]
+    # A late sighting neither ends a life nor shortens it; a null member is one of its own.
+    passed, sets = dedupe.renew(seen(("a", "1", 1000), ("b", "", 1200), ("b", "", 1300), ("a", "1", 1801)), sets)
+    assert passed.tolist() == [False, True, False, True]
+    assert sorted(sets.itertuples(index=False, name=None)) == [("a", "1", 2401), ("b", "", 1900), ("b", "1", 1900)]
