@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart.operators.wide import wide_columns
-from tidemart.session import state_session
+from tidemart.plans.queries import QUERIES
+from tidemart.session import PARTITION_BYTES, state_session, tune
 from tidemart.streaming import dedupe, shares
 from tidemart.streaming.jobs import start, table_writer
 
@@ -77,3 +78,17 @@ def test_sets_are_renewed_and_start_anew():
     passed, sets = dedupe.renew(seen(("a", "1", 1000), ("b", "", 1200), ("b", "", 1300), ("a", "1", 1801)), sets)
     assert passed.tolist() == [False, True, False, True]
     assert sorted(sets.itertuples(index=False, name=None)) == [("a", "1", 2401), ("b", "", 1900), ("b", "1", 1900)]
+
+
+def test_shuffles_start_from_more_partitions_where_tables_are_large(spark, monkeypatch):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = int(spark.conf.get(key))
+    try:
+        tune(spark, input_bytes=1000 * PARTITION_BYTES)
+        assert int(spark.conf.get(key)) == 1000
+        monkeypatch.setattr("tidemart.session.PARTITION_BYTES", 100)
+        QUERIES["detail_amount_split"](spark, "/root/testdata/sf0.001")
+        assert int(spark.conf.get(key)) > 1000
+    finally:
+        tune(spark)
+    assert int(spark.conf.get(key)) == before

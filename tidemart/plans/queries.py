@@ -21,7 +21,7 @@ from tidemart.session import state_session, tune, work_dir
 from tidemart.sources import offsets, retail, sinks
 from tidemart.sources.keyed import KeyedTable
 from tidemart.sources.rollup import RollUp
-from tidemart.sources.tables import read_day, sql_to_json_rows, stream_table
+from tidemart.sources.tables import read_day, sql_to_json_rows, stored_bytes, stream_table
 from tidemart.sources.topics import topic_source
 from tidemart.streaming import devices as device_streams
 from tidemart.streaming import orders as order_streams
@@ -38,7 +38,7 @@ def query(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFra
     """Register a query under its function's name, without a trailing underscore."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return fn(Warehouse(tune(spark), folder))
+        return fn(Warehouse(tune(spark, input_bytes=stored_bytes(spark, folder)), folder))
 
     QUERIES[fn.__name__.rstrip("_")] = run
     return fn

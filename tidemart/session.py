@@ -14,7 +14,11 @@ BATCH_SETTINGS = {
     # A skewed join is split even when a later step wants the join's partitioning;
     # the extra exchange is cheaper than one task holding a third of the rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A task that splits amounts sorts and hashes its rows several times, 1.6 KB a row.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
+# Input that a shuffle partition stands for: a task's memory does not grow with the tables.
+PARTITION_BYTES = 4 * 1024 * 1024
 
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -40,12 +44,13 @@ def build_session(app_name: str = "tidemart", cpus: str | int = "*") -> SparkSes
     )
 
 
-def tune(spark: SparkSession, time_zone: str = "UTC") -> SparkSession:
+def tune(spark: SparkSession, time_zone: str = "UTC", input_bytes: int = 0) -> SparkSession:
     """Apply the runtime settings to a session that somebody else created.
 
     Days and hours depend on the session zone, so it is always set explicitly.
-    The shuffle starts from at least two partitions per core of the cluster and
-    AQE merges the small ones, so the same code fits eight cores and thousands.
+    The shuffle starts from at least two partitions per core of the cluster, and one per
+    `PARTITION_BYTES` of input, and AQE merges the small ones, so the same code fits eight
+    cores and thousands.
     """
     spark.conf.set("spark.sql.session.timeZone", time_zone)
     for key, value in BATCH_SETTINGS.items():
@@ -54,7 +59,7 @@ def tune(spark: SparkSession, time_zone: str = "UTC") -> SparkSession:
     floor = 2 * spark.sparkContext.defaultParallelism
     spark.conf.set(
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-        str(max(configured, floor)),
+        str(max(configured, floor, input_bytes // PARTITION_BYTES)),
     )
     return spark
 

@@ -28,6 +28,12 @@ def ensure_folder(spark: SparkSession, path: str) -> str:
     return path
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """The size of all files of a folder."""
+    fs, target = _file_system(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def read_table(
     spark: SparkSession, folder: str, name: str, schema: StructType | None = None
 ) -> DataFrame:
