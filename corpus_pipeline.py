@@ -16,7 +16,7 @@ from tidemart.llm import langid, pieces, secret_ledger
 from tidemart.llm.decontaminate import clean_documents
 from tidemart.llm.neardup import drop_near_duplicates
 from tidemart.llm.rows import packed, unpacked
-from tidemart.session import work_dir
+from tidemart.session import bounded_batches, work_dir
 from tidemart.sources.tables import read_table
 
 # A document whose language is less certain than this goes.
@@ -25,6 +25,7 @@ LEAST_SCORE = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents without letters, and those whose language is uncertain, go."""
+    bounded_batches(spark)
     found = langid.predict(packed(docs), langid.train(docs))
     sure = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return unpacked(sure, docs.columns)
@@ -32,6 +33,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of each group of near copies (five words, 80 %) the document with the least id stays."""
+    bounded_batches(spark)
     return drop_near_duplicates(docs)
 
 

@@ -323,3 +323,36 @@ def test_repeated_and_very_many_headers_are_read(spark):
     row = warc.read_warc(spark, folder).first()
     assert row["headers"]["Set-Cookie"] == "a=1, b=2" and row["headers"]["set-cookie"] == "c"
     assert len(row["headers"]) == 12_002 and row["headers"]["X-11999"] == "11999" and row["payload"] == "body"
+
+
+def test_pieces_pass_between_spark_and_python_a_few_mb_at_a_time(spark):
+    import pyarrow as pa
+
+    from tidemart.llm import pieces
+    from tidemart.session import BATCH_BYTES
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    vocabulary = pieces.load()
+    texts = spark.range(4000, numPartitions=1).select(F.repeat(F.concat(F.col("id").cast("string"), F.lit(" ab ")), 600).alias("text"))
+    encoded = pieces.encode(texts, vocabulary)
+    found = encoded.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in found) == 4000
+    assert max(r["size"] for r in found) < 2 * BATCH_BYTES
+    back = pieces.decode(encoded.withColumnRenamed("text", "asked"), vocabulary)
+    assert back.where("rtrim(text) = rtrim(asked)").count() == 4000
+
+
+def test_chunks_that_are_needed_again_stay_known(monkeypatch):
+    from tidemart.llm import pieces
+
+    learned = []
+    monkeypatch.setattr(pieces, "KNOWN_CHUNKS", 10)
+    monkeypatch.setattr(pieces.Encoder, "_learn", lambda self, keys, learn=pieces.Encoder._learn: (learned.extend(keys), learn(self, keys)))
+    encoder = pieces.Encoder(pieces.load())
+    encoder.encode(["the cat and the dog sat on a mat"])
+    encoder.encode(["the dog " + " ".join(f"word{i}" for i in range(9))])
+    assert learned.count("the") == learned.count("dog") == 1
+    assert len(encoder.chunks) <= 11

@@ -30,12 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tidemart.llm.words import slices
+from tidemart.session import bounded_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-# Chunks and neighbours a task remembers, and characters indexed at once: some 300 MB.
-KNOWN_CHUNKS = 400_000
-KNOWN_NEIGHBOURS = 1_000_000
+# Chunks and neighbours a task remembers, and characters indexed at once: some 150 MB.
+KNOWN_CHUNKS = 200_000
+KNOWN_NEIGHBOURS = 400_000
 INDEX_CHARS = 200_000
 SLICE_BYTES = 2 << 20
 # Pieces that are decoded at once.
@@ -215,8 +216,9 @@ class Encoder:
         if len(self.holds) > KNOWN_NEIGHBOURS:
             self.holds.clear()
         if len(self.chunks) + len(new) > KNOWN_CHUNKS:
-            self.chunks.clear()
-            new = set().union(*keys)
+            # What these texts need again stays: most chunks are seen once, and go.
+            used = set().union(*keys) - new
+            self.chunks = {key: self.chunks[key] for key in used}
         group, size = [], 0
         for key in sorted(new):
             group.append(key)
@@ -413,7 +415,7 @@ _TEXT = T.StructField("text", T.StringType())
 
 def encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Rows with a `text`, and its `pieces`. The vocabulary, a few MB, goes to every task."""
-    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = bounded_batches(rows.sparkSession).sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
@@ -429,11 +431,12 @@ def encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Rows with `pieces`, and the `text` they stand for."""
-    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    """Rows with `pieces`, and the `text` they stand for. Only the table of the pieces' bytes
+    goes to the tasks."""
+    shared = bounded_batches(rows.sparkSession).sparkContext.broadcast(Decoder(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(shared.value)
+        decoder = shared.value
         for batch in batches:
             column = batch.column("pieces")
             values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()

@@ -19,6 +19,9 @@ BATCH_SETTINGS = {
 }
 # Input that a shuffle partition stands for: a task's memory does not grow with the tables.
 PARTITION_BYTES = 4 * 1024 * 1024
+# Rows that pass between Spark and Python at once; by number of rows alone, 10,000 texts and
+# their pieces are some 100 MB on both sides.
+BATCH_BYTES = 4 * 1024 * 1024
 
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -64,6 +67,12 @@ def tune(spark: SparkSession, time_zone: str = "UTC", input_bytes: int = 0) -> S
     return spark
 
 
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Let a session's Arrow batches end at `BATCH_BYTES`, however long its rows are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A sibling session whose streams keep state in RocksDB.
 
