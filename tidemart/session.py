@@ -82,6 +82,8 @@ def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSe
     sibling = tune(spark.newSession(), spark.conf.get("spark.sql.session.timeZone"))
     for key, value in STATE_SETTINGS.items():
         sibling.conf.set(key, value)
+    # Rows that hold packed rows are long.
+    bounded_batches(sibling)
     count = partitions or spark.sparkContext.defaultParallelism
     sibling.conf.set("spark.sql.shuffle.partitions", str(count))
     return sibling

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -15,7 +15,7 @@ from tidemart.operators.wide import detail_side, order_side, wide_columns
 from tidemart.schemas import FIRST_ORDER_FLAG, USER_FIRST_ORDER
 from tidemart.sources.keyed import KeyedTable
 from tidemart.sources.sinks import append_batch, store_order_wide
-from tidemart.streaming.dedupe import dedupe_stream
+from tidemart.streaming.interval import PAIRED_AT, Side, interval_join
 
 # The window of the short join and the life of the long join's buffers.
 SHORT_TOLERANCE = "15 seconds"
@@ -35,46 +35,35 @@ def join_order_detail(
     """Wide rows of lines whose time is within `tolerance` of their order's, ends
     included; each (order, line) pair once, whichever side came first.
 
-    Works on two batches and on two streams. In a stream both sides are kept until
-    the watermark makes a match impossible. The lines of one order are spread over
-    `salts` state partitions, and orders, the smaller side, are copied to each. A
-    record sent again is dropped before the join, so copies never multiply.
+    Works on two batches and on two streams. In a stream (`interval_join`) both sides are
+    kept until the watermark makes a match impossible, and pairs have their event time in
+    `PAIRED_AT`. The lines of one order are spread over `salts` places, and orders, the
+    smaller side, are copied to each. A record sent again is dropped before the join, so
+    copies never multiply.
     """
-    left, right, interval = _interval_sides(
-        orders, details, tolerance, order_ts, detail_ts, delay, salts, dedupe
+    left, right = _sides(orders, details, order_ts, detail_ts)
+    if orders.isStreaming:
+        joined = interval_join(left, right, tolerance, delay, salts, dedupe)
+        return wide_columns(joined, [order_ts, detail_ts, PAIRED_AT], complete=True)
+    joined = _joined_batches(left, right, tolerance, dedupe, "inner")
+    return wide_columns(joined, [order_ts, detail_ts], complete=True)
+
+
+def _sides(orders: DataFrame, details: DataFrame, order_ts: str, detail_ts: str) -> tuple[Side, Side]:
+    """Lines and orders as the two sides of the interval join."""
+    return (
+        Side(detail_side(details, [detail_ts]), detail_ts, "_order", ("_order", "order_detail_id")),
+        Side(order_side(orders, [order_ts]), order_ts, "order_id", ("order_id",)),
     )
-    return wide_columns(left.join(right, interval, "inner"), [order_ts, detail_ts], complete=True)
 
 
-def _interval_sides(
-    orders: DataFrame,
-    details: DataFrame,
-    tolerance: str,
-    order_ts: str,
-    detail_ts: str,
-    delay: str,
-    salts: int,
-    dedupe: bool,
-) -> tuple[DataFrame, DataFrame, Column]:
-    """(lines, orders, condition) of the interval join; with `_ls` and `_rs` if salted."""
-    streaming = orders.isStreaming
-    if dedupe:
-        orders = dedupe_stream(orders, ["id"], order_ts, delay)
-        details = dedupe_stream(details, ["order_id", "id"], detail_ts, delay)
-    elif streaming:
-        orders = orders.withWatermark(order_ts, delay)
-        details = details.withWatermark(detail_ts, delay)
-    left = detail_side(details, [detail_ts])
-    right = order_side(orders, [order_ts])
+def _joined_batches(left: Side, right: Side, tolerance: str, dedupe: bool, how: str) -> DataFrame:
+    lines, orders = (s.rows.dropDuplicates([*s.record]) if dedupe else s.rows for s in (left, right))
     interval = F.expr(
-        f"_order = order_id AND {detail_ts} >= {order_ts} - INTERVAL {tolerance}"
-        f" AND {detail_ts} <= {order_ts} + INTERVAL {tolerance}"
+        f"{left.key} = {right.key} AND {left.time} >= {right.time} - INTERVAL {tolerance}"
+        f" AND {left.time} <= {right.time} + INTERVAL {tolerance}"
     )
-    if streaming and salts > 1:
-        left = left.withColumn("_ls", F.pmod(F.xxhash64("order_detail_id"), F.lit(salts)).cast("int"))
-        right = right.withColumn("_rs", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        interval = interval & (F.col("_ls") == F.col("_rs"))
-    return left, right, interval
+    return lines.join(orders, interval, how)
 
 
 # Both sides, also without a partner ------------------------------------------------
@@ -102,10 +91,11 @@ def outer_join_order_detail(
     have one time, so the watermark passes them in one micro-batch.
     """
     salted = orders.isStreaming and salts > 1
-    left, right, interval = _interval_sides(
-        orders, details, tolerance, order_ts, detail_ts, delay, salts, dedupe
-    )
-    joined = left.join(right, interval, "full")
+    left, right = _sides(orders, details, order_ts, detail_ts)
+    if orders.isStreaming:
+        joined = interval_join(left, right, tolerance, delay, salts, dedupe, outer=True)
+    else:
+        joined = _joined_batches(left, right, tolerance, dedupe, "full")
     side = (
         F.when(F.col("_order").isNull(), ORDER_ONLY).when(F.col("order_id").isNull(), DETAIL_ONLY).otherwise(BOTH)
     )

@@ -7,7 +7,11 @@ import pyarrow as pa
 
 
 def pack(rows: pd.DataFrame) -> bytes:
-    table = pa.Table.from_pandas(rows, preserve_index=False).replace_schema_metadata()
+    return pack_table(pa.Table.from_pandas(rows, preserve_index=False))
+
+
+def pack_table(table: pa.Table) -> bytes:
+    table = table.replace_schema_metadata()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
         writer.write_table(table)

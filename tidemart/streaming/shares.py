@@ -16,6 +16,7 @@ from tidemart.functions.money import cents, from_cents
 from tidemart.functions.text import computed_once
 from tidemart.operators.wide import wide_columns
 from tidemart.schemas import ORDER_WIDE
+from tidemart.streaming.interval import PAIRED_AT
 from tidemart.streaming.packed import pack, unpack
 
 # Lines that are packed, and leave, together.
@@ -104,11 +105,11 @@ def split_amount_stream(
     """Wide rows of a stream with `final_detail_amount`, the share of each line in its
     order's amount, as `split_amount` gives it with lines in order of (time, id).
 
-    `wide` has each (order, line) pair once, `order_ts` with a watermark, and the time of
-    the line. A line can come until `wait`, the tolerance of the join before, after its
+    `wide` has each (order, line) pair once and the times of both. The watermark is on the
+    time that `join_order_detail` gives its pairs, or on `order_ts` where there is none. A line can come until `wait`, the tolerance of the join before, after its
     order; when the watermark has passed that, and the end of the slice of time (`SLICE_MS`) it falls in, all
-    rows of the order leave together, and they add up to its amount. Spark carries the
-    watermark through the join, so a line that the join lets pass is never too late here.
+    rows of the order leave together, and they add up to its amount. A pair's time is that of
+    its later row, so a line that the join lets pass is never too late here.
 
     The orders of a slice are dealt over `lanes`; their lines share the state of the lane. A
     call to the state costs far more than a line, so there are few lanes: slices are apart.
@@ -121,7 +122,7 @@ def split_amount_stream(
         end.alias("closes"),
         F.pmod(F.xxhash64("order_id"), F.lit(lanes)).alias("lane"),
         "order_id",
-        order_ts,
+        PAIRED_AT if PAIRED_AT in wide.columns else order_ts,
         F.unix_micros(detail_ts).alias("place"),
         F.coalesce("order_detail_id", F.lit(0)).alias("id"),
         cents(F.coalesce("sku_price", F.lit(0))).cast("bigint").alias("weight"),
