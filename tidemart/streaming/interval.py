@@ -20,7 +20,7 @@ from pyspark.sql.types import ArrayType, StructType
 from tidemart.streaming.packed import pack_table, unpack
 
 # Lanes that keys are dealt over; each is one entry a side of the state store.
-LANES = 256
+LANES = 128
 # Rows of a task that are dealt to their lanes together, or bytes if that is less.
 DEAL_ROWS, DEAL_BYTES = 262_144, 32 * 1024 * 1024
 # Rows that are joined, and kept packed, together; pairs that leave in one pack.
