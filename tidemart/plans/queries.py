@@ -17,7 +17,7 @@ from tidemart.operators import devices, first_order, metrics, routing, search, w
 from tidemart.operators.dimensions import enrich_province, upsert_latest
 from tidemart.operators.pages import ranged_page, store_ranges
 from tidemart.plans.warehouse import Warehouse, with_user
-from tidemart.session import state_session, tune, work_dir
+from tidemart.session import backlog_session, state_session, tune, work_dir
 from tidemart.sources import offsets, retail, sinks
 from tidemart.sources.keyed import KeyedTable
 from tidemart.sources.rollup import RollUp
@@ -575,7 +575,8 @@ def _order_topics(w: Warehouse, job: Callable[[DataFrame, DataFrame], DataStream
     from its checkpoint. The second part ends with an order and a line of a far later day
     that do not belong together, so that the watermark passes all others.
     """
-    spark = state_session(w.spark)
+    spark = backlog_session(w.spark, stored_bytes(w.spark, w.folder))
+    w = Warehouse(spark, w.folder)
     order_topic, detail_topic = work_dir(spark, "orders"), work_dir(spark, "details")
     checkpoint = work_dir(spark, "checkpoint")
     orders = order_time_parts(w.orders())

@@ -30,6 +30,19 @@ STATE_SETTINGS = {
     # Counting rows costs a lookup per write and only feeds a progress number.
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
+# For jobs that take a backlog in a few large micro-batches: what such a batch has shuffled
+# goes when it ends, not when the driver happens to collect its garbage. Its state is kept as
+# one snapshot, of the last two batches, and is not held open on the executors besides.
+BACKLOG_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.streaming.minBatchesToRetain": "2",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false",
+    "spark.sql.streaming.stateStore.rocksdb.compactOnCommit": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+# Input that a state partition of such a job stands for: a task sorts its rows in memory.
+STATE_BYTES = 64 * 1024 * 1024
 
 
 def build_session(app_name: str = "tidemart", cpus: str | int = "*") -> SparkSession:
@@ -89,6 +102,16 @@ def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSe
     return sibling
 
 
+def backlog_session(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """A state session for streams that take `input_bytes` in a few large micro-batches, with
+    at least one state partition per `STATE_BYTES`."""
+    partitions = max(spark.sparkContext.defaultParallelism, input_bytes // STATE_BYTES)
+    sibling = state_session(spark, partitions)
+    for key, value in BACKLOG_SETTINGS.items():
+        sibling.conf.set(key, value)
+    return tune(sibling, spark.conf.get("spark.sql.session.timeZone"), input_bytes)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 

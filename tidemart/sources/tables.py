@@ -28,6 +28,11 @@ def ensure_folder(spark: SparkSession, path: str) -> str:
     return path
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """The size of all files of a folder."""
     fs, target = _file_system(spark, path)

@@ -9,7 +9,6 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -130,7 +129,7 @@ def _deal(side: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
 
     def packs(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held)
-        table = table.take(pc.sort_indices(table["_lane"])).combine_chunks()
+        table = table.sort_by([("_lane", "ascending"), (_AT, "ascending")]).combine_chunks()
         lane, at = table["_lane"].to_numpy(), table[_AT].to_numpy()
         starts = np.flatnonzero(np.append(True, lane[1:] != lane[:-1]))
         table = table.drop_columns(["_lane"])
@@ -203,6 +202,11 @@ def _chunks(packs: Iterable[bytes]) -> Iterator[pa.Table]:
         yield pa.concat_tables(held).combine_chunks()
 
 
+def _packed(rows: pa.Table) -> bytes:
+    """In order of their time, in which rows take least."""
+    return pack_table(rows.sort_by(_AT))
+
+
 def _names(rows: pa.Table, record: tuple[str, ...]) -> pa.Table:
     return pa.table([rows[c] for c in record], names=[f"k{i}" for i in range(len(record))])
 
@@ -260,7 +264,7 @@ class _Lanes(StatefulProcessor):
                 chunk = self._marked(chunk, at)
             again.append(chunk)
         if self._rule.outer and fresh is not None and fresh.num_rows and again:
-            self._kept[LEFT].put([(pack_table(chunk),) for chunk in again])
+            self._kept[LEFT].put([(_packed(chunk),) for chunk in again])
 
         # New left rows meet all right rows.
         for chunk in _chunks(came[LEFT]):
@@ -274,7 +278,7 @@ class _Lanes(StatefulProcessor):
                 yield from self._pairs(chunk, at, right, to)
                 found[to] = True
                 chunk = self._marked(chunk, at)
-            self._kept[LEFT].appendValue((pack_table(chunk),))
+            self._kept[LEFT].appendValue((_packed(chunk),))
             ends.append(self._leaves(chunk).min())
 
         if fresh is not None and fresh.num_rows:
@@ -282,7 +286,7 @@ class _Lanes(StatefulProcessor):
         if self._rule.outer and right is not None:
             self._keep(RIGHT, [self._with_done(right, found)])
         elif fresh is not None and fresh.num_rows:
-            self._kept[RIGHT].appendValue((pack_table(fresh),))
+            self._kept[RIGHT].appendValue((_packed(fresh),))
         if ends:
             self._wake(int(min(ends)))
 
@@ -333,6 +337,8 @@ class _Lanes(StatefulProcessor):
         return met["l"].to_numpy()[near], met["r"].to_numpy()[near]
 
     def _pairs(self, left: pa.Table, at: np.ndarray, right: pa.Table, to: np.ndarray) -> Iterator[pd.DataFrame]:
+        by_time = np.argsort(_times(left)[at], kind="stable")
+        at, to = at[by_time], to[by_time]
         for i in range(0, len(at), PAIRS):
             l_rows, r_rows = left.take(at[i : i + PAIRS]), right.take(to[i : i + PAIRS])
             later = int(np.maximum(_times(l_rows), _times(r_rows)).min())
@@ -371,7 +377,7 @@ class _Lanes(StatefulProcessor):
 
     def _keep(self, side: int, chunks: list[pa.Table]) -> None:
         if chunks:
-            self._kept[side].put([(pack_table(chunk),) for chunk in chunks])
+            self._kept[side].put([(_packed(chunk),) for chunk in chunks])
         else:
             self._kept[side].clear()
 

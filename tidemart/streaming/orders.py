@@ -15,6 +15,7 @@ from tidemart.operators.wide import detail_side, order_side, wide_columns
 from tidemart.schemas import FIRST_ORDER_FLAG, USER_FIRST_ORDER
 from tidemart.sources.keyed import KeyedTable
 from tidemart.sources.sinks import append_batch, store_order_wide
+from tidemart.sources.tables import remove_folder
 from tidemart.streaming.interval import PAIRED_AT, Side, interval_join
 
 # The window of the short join and the life of the long join's buffers.
@@ -110,13 +111,14 @@ def save_sides(wide_path: str, unmatched_path: str) -> Callable[[DataFrame, int]
     found no partner, with its `side`, to another."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            pairs = batch.where(F.col("side") == BOTH)
-            store_order_wide(pairs.drop("side", "copies"), wide_path, batch_id)
-            append_batch(without_partner(batch), batch_id, unmatched_path, ("side",))
-        finally:
-            batch.unpersist()
+        # Computed once and kept as a file: both sides of a large batch do not fit in memory.
+        spark, held = batch.sparkSession, f"{unmatched_path}/_batch"
+        batch.write.mode("overwrite").parquet(held)
+        rows = spark.read.schema(batch.schema).parquet(held)
+        pairs = rows.where(F.col("side") == BOTH)
+        store_order_wide(pairs.drop("side", "copies"), wide_path, batch_id)
+        append_batch(without_partner(rows), batch_id, unmatched_path, ("side",))
+        remove_folder(spark, held)
 
     return save
 
